@@ -8,14 +8,12 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tradeloom.functions.columns import flag, seconds_between, time_of_day
-from tradeloom.operators.dedupe import dedupe_last
 from tradeloom.operators.skew import (
-    HOT_ROWS,
+    Ledger,
     bucket_prefix,
-    null_safe_equal,
     running_max,
     running_sum,
-    split_hot,
+    split_ledger,
     ticket_range,
 )
 from tradeloom.schemas import LOST, NEUTRAL, TOTAL, TRADE_TYPES, UNDECIDED, WON
@@ -54,18 +52,14 @@ def _row_features(trades):
 
 
 def _ordinary(rows):
-    """Plain windows: one exchange on account and one sort serve all of them."""
+    """Plain windows over account-partitioned rows: one sort serves all of them."""
     ties = Window.partitionBy("account_nr").orderBy("open_datetime")
     line = Window.partitionBy("account_nr").orderBy("open_datetime", "ticket")
-    rows = (
-        rows.repartition("account_nr")
-        .sortWithinPartitions("account_nr", "open_datetime", "ticket")
-        .withColumns(
-            {
-                "cumulative_profit": F.sum("net_profit").over(ties).cast(TOTAL),
-                "balance": F.sum(balance_change()).over(ties).cast(TOTAL),
-            }
-        )
+    rows = rows.sortWithinPartitions("account_nr", "open_datetime", "ticket").withColumns(
+        {
+            "cumulative_profit": F.sum("net_profit").over(ties).cast(TOTAL),
+            "balance": F.sum(balance_change()).over(ties).cast(TOTAL),
+        }
     )
     lost = F.col("trade_won") == LOST
     return rows.withColumns(
@@ -115,7 +109,8 @@ def _hot(rows):
         running_sum("bal", 1, False).cast(TOTAL).alias("balance_before"),
     ).join(kept, bucket)
 
-    kept_position = F.greatest(F.col("kept_before"), F.col("rows_before") + F.coalesce("__kept", F.lit(0) - F.col("rows_before")))
+    # NULL arguments of greatest are skipped.
+    kept_position = F.greatest(F.col("kept_before"), F.col("rows_before") + F.col("__kept"))
     return (
         rows.join(prefix, bucket)
         .withColumn(
@@ -130,17 +125,10 @@ def _hot(rows):
     )
 
 
-def trade_features(trades, row_order=None, hot_rows=HOT_ROWS):
-    """All ledger rows with their features.
-
-    With `row_order`, copies of a ticket are reduced to the last one first; for ordinary
-    accounts that needs no shuffle of its own, because the account partitioning serves both.
-    """
-    ordinary, hot, _ = split_hot(trades, "account_nr", hot_rows)
-    if row_order:
-        ordinary = dedupe_last(ordinary.repartition("account_nr"), row_order).drop(row_order)
-        hot = dedupe_last(hot, row_order).drop(row_order)
-    rows = _ordinary(_row_features(ordinary)).unionByName(_hot(_row_features(hot)))
+def trade_features(trades):
+    """All ledger rows with their features; takes trades or an already split ledger."""
+    ledger = trades if isinstance(trades, Ledger) else split_ledger(trades)
+    rows = ledger.map(_row_features).combine(_ordinary, _hot)
     c = F.col
     return rows.withColumns(
         {

@@ -6,11 +6,13 @@ A window partitioned by account puts a whole account into one task. Accounts up
 """
 
 from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradeloom.functions.columns import null_safe_plus
+from tradeloom.operators.dedupe import dedupe_last
 
 HOT_ROWS = 2_000_000
 # Tickets are unique within an account, so one ticket range holds at most 2**20 rows.
@@ -27,18 +29,53 @@ def hot_keys(df, key, hot_rows=HOT_ROWS):
 
 
 def split_hot(df, key, hot_rows=HOT_ROWS):
-    """(rows of ordinary keys, rows of hot keys, hot keys).
+    """(rows of ordinary keys, rows of hot keys or None when there are none).
 
-    The broadcast list is bounded by rows / hot_rows: 10**12 rows give at most 500,000 keys.
+    One small job looks for hot keys first, so that ordinary data gets the plain plan. The
+    broadcast list is bounded by rows / hot_rows: 10**12 rows give at most 500,000 keys.
     """
     hot = hot_keys(df, key, hot_rows)
+    if hot.isEmpty():
+        return df, None
     listed = F.broadcast(hot)
-    ordinary = df.join(listed, key, "left_anti")
-    return ordinary, df.join(listed, key, "left_semi"), hot
+    return df.join(listed, key, "left_anti"), df.join(listed, key, "left_semi")
 
 
-def null_safe_equal(left, right, names):
-    return reduce(lambda a, b: a & b, [left[n].eqNullSafe(right[n]) for n in names])
+class Ledger(NamedTuple):
+    """Account rows in two parts: ordinary accounts, partitioned by account, and hot ones."""
+
+    ordinary: DataFrame
+    hot: DataFrame | None
+
+    def map(self, function):
+        return Ledger(function(self.ordinary), None if self.hot is None else function(self.hot))
+
+    def combine(self, ordinary, hot):
+        """Apply one function per part and put the parts together again."""
+        done = ordinary(self.ordinary)
+        return done if self.hot is None else done.unionByName(hot(self.hot))
+
+
+def split_ledger(rows, row_order=None, hot_rows=HOT_ROWS):
+    """Partition rows by account, hot accounts apart; keep the last copy of each ticket.
+
+    Copies are dropped when `row_order` names the column that ranks them. For ordinary
+    accounts that takes no shuffle of its own: the account partitioning serves both.
+    """
+    ordinary, hot = split_hot(rows, "account_nr", hot_rows)
+    ledger = Ledger(ordinary.repartition("account_nr"), hot)
+    if row_order:
+        ledger = ledger.map(lambda part: dedupe_last(part, row_order).drop(row_order))
+    return ledger
+
+
+def same_bucket(columns, prefix):
+    """Join condition: each column equals its `prefix` namesake, NULL included."""
+    return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(prefix + c)) for c in columns])
+
+
+def renamed(df, columns, prefix):
+    return df.withColumnsRenamed({c: prefix + c for c in columns})
 
 
 def bucket_prefix(rows, key, levels, measures):
@@ -81,12 +118,8 @@ def bucket_prefix(rows, key, levels, measures):
         if result is None:
             result = frame
         else:
-            outer = result.select(
-                *[F.col(c).alias(f"__{c}") for c in parent],
-                *[c for c in result.columns if c not in parent],
-            )
-            on = reduce(lambda a, b: a & b, [frame[c].eqNullSafe(outer[f"__{c}"]) for c in parent])
-            result = frame.join(outer, on).drop(*[f"__{c}" for c in parent])
+            outer = renamed(result, parent, "__")
+            result = frame.join(outer, same_bucket(parent, "__")).drop(*[f"__{c}" for c in parent])
     return result
 
 

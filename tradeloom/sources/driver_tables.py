@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from tradeloom.functions.columns import date_key, money
-from tradeloom.schemas import TRADE_COLUMNS
+from tradeloom.operators.skew import HOT_ROWS, split_ledger
+from tradeloom.schemas import GRID_CELLS, GRID_TO_TRADE, TRADE_COLUMNS
 
 # Symbol by supplier number modulo 8, currency by nation number modulo 4.
 SYMBOLS = ["eurusd", "gbpusd", "usdjpy", "audusd", "usdcad", "nzdusd", "eurgbp", "xauusd"]
@@ -14,12 +15,55 @@ def read_table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def raw_trades(spark, sf_dir):
-    """One trade per order line, with repeated tickets and a `row_order` that ranks the copies."""
+# What the order tables contribute to a trade; everything else is derived from these.
+LINE_COLUMNS = [
+    "l_orderkey",
+    "l_linenumber",
+    "l_discount",
+    "l_tax",
+    "l_returnflag",
+    "l_linestatus",
+    "o_orderdate",
+]
+
+
+def order_lines(spark, sf_dir):
+    """Order lines with account, ticket and the `row_order` that ranks copies of a ticket."""
     lines = read_table(spark, sf_dir, "lineitem")
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
+    return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
+        F.col("o_custkey").alias("account_nr"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ticket"),
+        *LINE_COLUMNS,
+        F.struct("l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice").alias("row_order"),
+    )
+
+
+def raw_trades(spark, sf_dir):
+    """One trade per order line, with repeated tickets and their `row_order`."""
+    lines = order_lines(spark, sf_dir)
+    return lines_to_trades(lines, keep=["row_order"])
+
 
+def latest_ledger(spark, sf_dir, hot_rows=HOT_ROWS):
+    """The last copy of each ticket, split by account size.
+
+    Trades are derived after the shuffle: fewer and narrower columns travel, and only the
+    copies that stay are computed.
+    """
+    lines = order_lines(spark, sf_dir).withColumn("ranked", F.col("row_order"))
+    return split_ledger(lines, "ranked", hot_rows).map(lines_to_trades)
+
+
+def latest_trades(spark, sf_dir):
+    """The last copy of each ticket as one frame."""
+    ledger = latest_ledger(spark, sf_dir)
+    return ledger.combine(lambda part: part, lambda part: part)
+
+
+def lines_to_trades(lines, keep=()):
+    """Derive the trade columns of order lines."""
+    lines = lines.select("account_nr", "ticket", *LINE_COLUMNS, "row_order", "row_order.*")
     c = F.col
     quantity = c("l_quantity").cast("int")
     second_of_day = (c("l_partkey") * 97 + c("l_linenumber") * 3571) % 86400
@@ -30,7 +74,7 @@ def raw_trades(spark, sf_dir):
         .otherwise(quantity * 300)
     )
     parity = (c("l_orderkey") + c("l_linenumber")) % 6
-    base = joined.select(
+    base = lines.select(
         "*",
         ((c("l_linenumber") == 7) & (c("l_orderkey") % 3 == 0)).alias("is_balance"),
         ((c("l_linestatus") == "O") & (c("l_orderkey") % 5 == 0)).alias("is_open"),
@@ -61,8 +105,8 @@ def raw_trades(spark, sf_dir):
         )
         .withColumn("size", size)
         .select(
-            c("o_custkey").alias("account_nr"),
-            (c("l_orderkey") * 10 + c("l_linenumber")).alias("ticket"),
+            "account_nr",
+            "ticket",
             "open_datetime",
             "close_datetime",
             date_key(c("open_datetime")).alias("open_date_key"),
@@ -87,10 +131,10 @@ def raw_trades(spark, sf_dir):
                     c("parity") != 2, c("open_px") + F.lit("0.01").cast("decimal(18,6)")
                 )
             ).alias("take_profit"),
-            F.struct("l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice").alias("row_order"),
+            *keep,
         )
     )
-    return trades.select(*TRADE_COLUMNS, "row_order")
+    return trades.select(*TRADE_COLUMNS, *keep)
 
 
 def accounts(spark, sf_dir):
@@ -101,3 +145,102 @@ def accounts(spark, sf_dir):
         F.col("c_name").alias("account_name"),
         F.element_at(F.array(*map(F.lit, CURRENCIES)), F.col("c_nationkey") % 4 + 1).alias("account_currency"),
     )
+
+
+def ledger_as_of(trades, moment):
+    """The trades as a statement taken at `moment` would show them."""
+    moment = F.lit(moment).cast("timestamp_ntz")
+    pending = F.col("close_datetime") >= moment
+    hidden = {c: F.when(~F.coalesce(pending, F.lit(False)), F.col(c)) for c in ["close_datetime", "close_date_key", "close_price"]}
+    hidden["profit"] = F.when(pending, money(F.lit(0))).otherwise(F.col("profit"))
+    return trades.filter(F.col("open_datetime") < moment).withColumns(hidden)
+
+
+def _cell_time(ts):
+    return F.replace(F.substring(ts.cast("string"), 1, 19), F.lit("-"), F.lit("."))
+
+
+def statement_grid(spark, sf_dir):
+    """Raw trades laid out as statement grids, one file per account and opening year.
+
+    Row positions come from the row itself (part and supplier number), not from a window.
+    """
+    c = F.col
+    raw = raw_trades(spark, sf_dir)
+    file = F.concat(F.lit("statement_"), c("account_nr").cast("string"), F.lit("_"), F.year("open_datetime").cast("string"))
+    text = {cell: c(name).cast("string") for cell, name in GRID_TO_TRADE.items()}
+    text["c1"], text["c8"] = _cell_time(c("open_datetime")), _cell_time(c("close_datetime"))
+    text["c11"] = F.lit(None).cast("string")
+    position = 4 + c("row_order.l_partkey") * 1_000_000 + c("row_order.l_suppkey") % 1_000_000
+    body = raw.select(file.alias("file"), position.alias("row_idx"), *[text[cell].alias(cell) for cell in GRID_CELLS])
+
+    files = raw.select(file.alias("file"), "account_nr").distinct()
+    owners = files.join(accounts(spark, sf_dir), c("account_nr") == c("account_number"))
+    empty = F.lit(None).cast("string")
+    lines = [
+        {"c0": F.lit("Statement")},
+        {
+            "c0": F.concat(F.lit("Account: "), c("account_nr").cast("string")),
+            "c2": F.concat(F.lit("Name: "), c("account_name")),
+            "c7": F.concat(F.lit("Currency: "), c("account_currency")),
+        },
+        {"c0": F.lit("Closed Transactions:")},
+        {cell: F.lit(name) for cell, name in GRID_TO_TRADE.items()},
+    ]
+    preamble = owners.select(
+        "file",
+        F.posexplode(F.array(*[F.struct(*[line.get(cell, empty).alias(cell) for cell in GRID_CELLS]) for line in lines])).alias(
+            "row_idx", "line"
+        ),
+    ).select("file", c("row_idx").cast("long").alias("row_idx"), "line.*")
+    return body.unionByName(preamble)
+
+
+# Header texts of the HTML statements and the trade columns they stand for.
+HTML_COLUMNS = {
+    "Ticket": "ticket",
+    "Open Time": "open_datetime",
+    "Type": "type",
+    "Size": "size",
+    "Item": "symbol",
+    "Open Price": "open_price",
+    "S / L": "stop_loss",
+    "T / P": "take_profit",
+    "Close Time": "close_datetime",
+    "Close Price": "close_price",
+    "Commission": "commission",
+    "Swap": "swap",
+    "Profit": "profit",
+}
+TICKETS_PER_DOCUMENT = 10_000
+
+
+def html_statements(spark, sf_dir):
+    """Latest trades as HTML documents of one account and at most 10,000 tickets each."""
+    trades = latest_trades(spark, sf_dir)
+    text = {name: F.coalesce(F.col(name).cast("string"), F.lit("")) for name in HTML_COLUMNS.values()}
+    for name in ("open_datetime", "close_datetime"):
+        text[name] = F.coalesce(_cell_time(F.col(name)), F.lit(""))
+    cells = lambda values: F.concat(F.lit("<tr>"), *[F.concat(F.lit("<td>"), v, F.lit("</td>")) for v in values], F.lit("</tr>"))
+    part = F.floor(F.col("ticket") / TICKETS_PER_DOCUMENT).cast("string")
+    docs = (
+        trades.select(
+            "account_nr",
+            F.concat_ws("-", F.col("account_nr").cast("string"), part).alias("doc_id"),
+            F.struct("ticket", cells(text.values()).alias("row")).alias("line"),
+        )
+        .groupBy("doc_id", "account_nr")
+        .agg(F.sort_array(F.collect_list("line")).alias("lines"))
+    )
+    title = cells([F.concat(F.lit("Account: "), F.col("account_nr").cast("string"))])
+    return docs.select(
+        "doc_id",
+        F.concat(
+            F.lit("<html><body><table>"),
+            title,
+            cells([F.lit("Closed Transactions:")]),
+            cells([F.concat(F.lit("<b>"), F.lit(h), F.lit("</b>")) for h in HTML_COLUMNS]),
+            F.array_join(F.col("lines.row"), "\n"),
+            F.lit("</table><table><tr><td>Working Orders:</td></tr></table></body></html>"),
+        ).alias("html"),
+    )
