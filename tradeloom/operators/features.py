@@ -134,7 +134,7 @@ def trade_features(trades):
         {
             "open_time": time_of_day(c("open_datetime")),
             "close_time": time_of_day(c("close_datetime")),
-            "trade_return": F.round(F.try_divide(c("net_profit").cast(TOTAL), c("initial_balance")), 4),
+            "trade_return": F.round(F.try_divide("net_profit", "initial_balance"), 4),
             "sl_triggered": flag(c("stop_loss") == c("close_price")),
             "tp_triggered": flag(c("take_profit") == c("close_price")),
             "trade_scalping": flag((c("trade_closed") == 1) & (c("minutes_spent") < 2)),

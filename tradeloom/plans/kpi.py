@@ -75,7 +75,7 @@ def _day_of_symbols(cells, summary, sides):
 
     summed = [m for m in summary if m.name in SUMMED] + [m for ms in sides.values() for m in ms if not m.name.endswith("s_opened")]
     # Extremes: largest profit and loss, then earliest day, then first symbol.
-    best = F.struct((0 - _exact("max_profit")).alias("rank"), "day", "symbol")
+    best = F.struct((0 - _exact("max_profit")).cast(TOTAL).alias("rank"), "day", "symbol")
     worst = F.struct(_exact("max_loss").alias("rank"), "day", "symbol")
     return rows.groupBy("account_nr", "day").agg(
         *[F.sum(F.col(m.name) if is_count(m) else _exact(m.name)).alias(m.name) for m in summed],

@@ -19,6 +19,10 @@ from tradeloom.sources.files import append_table, publish
 from tradeloom.sources.statements import statement_accounts, statement_trades
 
 
+def _end(last_day):
+    return F.current_date() if last_day is None else last_day
+
+
 def account_table(grid):
     """Distinct accounts of all statements under their warehouse names."""
     names = {v: k for k, v in ACCOUNT_FILE_NAMES.items()}
@@ -46,13 +50,13 @@ def run_warehouse(grid, root, last_day=None, loaded_before=False):
     staged = spark.read.schema(trades.schema).parquet(f"{root}/staging/trade_history")
     staged_accounts = spark.read.schema(accounts.schema).parquet(f"{root}/staging/dim_account")
     features = publish(trade_features(staged), root, "trade_features")
-    views = gold_views(features, staged_accounts, trade_day_bounds(staged, last_day or F.current_date()), register=True)
+    views = gold_views(features, staged_accounts, trade_day_bounds(staged, _end(last_day)), register=True)
     return export_gold(views, f"{root}/export")
 
 
 def run_daily_tables(grid, root, last_day=None):
     """Grids to cleaned trades, the four daily tables and the report, all published."""
-    last_day = last_day or F.current_date()
+    last_day = _end(last_day)
     features = publish(cleaned_features(statement_trades(grid)), root, "cleaned_features")
     tables = {
         "daily_summary": daily_summary(features, last_day),

@@ -163,7 +163,7 @@ def _cell_time(ts):
 def statement_grid(spark, sf_dir):
     """Raw trades laid out as statement grids, one file per account and opening year.
 
-    Row positions come from the row itself (part and supplier number), not from a window.
+    Row positions come from the row itself (part, supplier, shipping day), not from a window.
     """
     c = F.col
     raw = raw_trades(spark, sf_dir)
@@ -171,7 +171,8 @@ def statement_grid(spark, sf_dir):
     text = {cell: c(name).cast("string") for cell, name in GRID_TO_TRADE.items()}
     text["c1"], text["c8"] = _cell_time(c("open_datetime")), _cell_time(c("close_datetime"))
     text["c11"] = F.lit(None).cast("string")
-    position = 4 + c("row_order.l_partkey") * 1_000_000 + c("row_order.l_suppkey") % 1_000_000
+    shipped = F.date_diff(c("row_order.l_shipdate").cast("date"), F.lit("1990-01-01").cast("date"))
+    position = 4 + c("row_order.l_partkey") * 100_000_000 + (c("row_order.l_suppkey") % 10_000) * 10_000 + shipped
     body = raw.select(file.alias("file"), position.alias("row_idx"), *[text[cell].alias(cell) for cell in GRID_CELLS])
 
     files = raw.select(file.alias("file"), "account_nr").distinct()
@@ -244,3 +245,8 @@ def html_statements(spark, sf_dir):
             F.lit("</table><table><tr><td>Working Orders:</td></tr></table></body></html>"),
         ).alias("html"),
     )
+
+
+def order_open_times(spark, sf_dir):
+    """Opening times of the latest trades, for their date range."""
+    return latest_trades(spark, sf_dir).select("open_datetime")
