@@ -1,0 +1,199 @@
+import os
+
+import pytest
+from conftest import edge_rows, trade, trade_frame
+from pyspark.sql import functions as F
+
+from tradeloom.functions.columns import switch_values
+from tradeloom.functions.frames import distinct_rows, normalise_names, recast, with_row_key
+from tradeloom.operators import dims
+from tradeloom.operators.delta import delta_append, delta_stale, delta_upsert
+from tradeloom.operators.quality import orphans, repeated_keys, validate_staging
+from tradeloom.schemas import ACCOUNT_SCHEMA, GRID_CELLS, GRID_SCHEMA
+from tradeloom.sources.files import (
+    append_table,
+    list_files,
+    publish,
+    read_account_files,
+    read_fact_files,
+    read_grid_files,
+    read_html_files,
+    write_account_files,
+    write_fact_files,
+)
+from tradeloom.sources.statements import html_rows, html_tables, statement_accounts, statement_trades
+
+
+def grid_row(file, idx, **cells):
+    return (file, idx, *[cells.get(c) for c in GRID_CELLS])
+
+
+def preamble(file, account, name="Ann Lee", currency="USD"):
+    return [
+        grid_row(file, 0, c0="Statement"),
+        grid_row(file, 1, c0=f"Account: {account}", c2=f"Name: {name} ", c7=f"Currency: {currency}"),
+        grid_row(file, 2, c0="Closed Transactions:"),
+        grid_row(file, 3, c0="Ticket", c1="Open Time", c2="Type"),
+    ]
+
+
+@pytest.fixture()
+def grid(spark):
+    line = dict(c1="2024.01.02 09:00:00", c2="buy", c3="0.10", c4="eurusd", c5="1.1", c8="2024.01.02 09:30:00", c9="1.2", c10="0", c12="0", c13="5")
+    rows = preamble("a.xls", 11) + [
+        grid_row("a.xls", 4, c0="100", **line),
+        grid_row("a.xls", 5, c0="100", **(line | {"c13": "7"})),
+        grid_row("a.xls", 6, c0="101", **(line | {"c2": "buy limit"})),
+        grid_row("a.xls", 7, c0="102", c1="2024.01.03 00:00:01", c2="balance", c3="n/a", c13="1000"),
+    ]
+    rows += preamble("b.xls", 12, "Bo Ek", "GBP") + [grid_row("b.xls", 4, c0="200", **(line | {"c8": None}))]
+    rows += preamble("c.xls", 11) + [grid_row("c.xls", 4, c0="100", **(line | {"c13": "9"}))]
+    return spark.createDataFrame(rows, GRID_SCHEMA)
+
+
+def test_statement_accounts(grid):
+    got = {tuple(r) for r in statement_accounts(grid).collect()}
+    assert got == {("a.xls", 11, "Ann Lee", "USD"), ("b.xls", 12, "Bo Ek", "GBP"), ("c.xls", 11, "Ann Lee", "USD")}
+
+
+def test_statement_trades(grid):
+    got = {r["ticket"]: r for r in statement_trades(grid).collect()}
+    assert set(got) == {100, 102, 200}
+    assert got[100]["profit"] == 9 and got[100]["account_nr"] == 11
+    assert got[102]["size"] is None and got[102]["open_date_key"] == 20240103
+    assert got[200]["close_datetime"] is None and got[200]["close_date_key"] is None
+
+
+def test_last_copy_of_another_type_drops_the_ticket(spark):
+    line = dict(c0="5", c1="2024.01.02 09:00:00", c2="buy", c13="1")
+    rows = preamble("a", 1) + [grid_row("a", 4, **line), grid_row("a", 5, **(line | {"c2": "sell stop"}))]
+    assert statement_trades(spark.createDataFrame(rows, GRID_SCHEMA)).count() == 0
+
+
+def test_bad_date_raises(spark):
+    rows = preamble("a", 1) + [grid_row("a", 4, c0="5", c1="02/01/2024", c2="buy")]
+    with pytest.raises(Exception):
+        statement_trades(spark.createDataFrame(rows, GRID_SCHEMA)).collect()
+
+
+HTML = """<html><TABLE><tr><td colspan=3>Account: 7</td></tr>
+<tr><td>Closed</td></tr><tr><th>Ticket</th><th>Profit</th><th>Item</th></tr>
+<tr class=x><td>1</td><td> <b>2.5</b></td><td></td></tr><TR><td>2</td><td>3</td><td>eurusd</td></TR>
+</TABLE><table><tr><td>other</td></tr></table></html>"""
+
+
+def test_html_tables_and_rows(spark):
+    docs = spark.createDataFrame([("d", HTML), ("e", "no table here")], "doc_id string, html string")
+    assert html_tables(docs).filter("doc_id = 'd'").count() == 2
+    got = html_rows(docs, {"Ticket": "ticket", "Item": "symbol", "Profit": "profit", "Gone": "gone"}).orderBy("row_idx").collect()
+    assert [tuple(r)[2:] for r in got] == [("1", None, "2.5", None), ("2", "eurusd", "3", None)]
+
+
+def test_file_listing_and_scans(spark, tmp_path):
+    for name in ("a.xls", "b.xlsx", "c.csv", "d.ods", "e.htm"):
+        (tmp_path / name).write_text(HTML if name == "e.htm" else "4,1,2024.01.02 09:00:00,buy,,,,,,,,,,,5\n")
+    folder = str(tmp_path)
+    names = lambda types: sorted(r["name"] for r in list_files(spark, folder, types).collect())
+    assert names("xls") == ["a.xls", "b.xlsx"]
+    assert names(["xls", "ods"]) == ["a.xls", "b.xlsx", "d.ods"]
+    assert len(names(None)) == 5
+    grid = read_grid_files(spark, folder).collect()
+    assert grid[0]["file"] == "c.csv" and grid[0]["row_idx"] == 4 and grid[0]["c13"] == "5"
+    assert read_html_files(spark, folder).head()["html"] == HTML
+
+
+def test_fact_and_account_files(spark, tmp_path):
+    trades = trade_frame(spark, [r for _, r in edge_rows()])
+    write_fact_files(trades, str(tmp_path / "fact"))
+    header = next(p for p in os.listdir(tmp_path / "fact") if p.endswith(".csv"))
+    assert "account_number" in (tmp_path / "fact" / header).read_text().splitlines()[0]
+    assert sorted(map(repr, read_fact_files(spark, str(tmp_path / "fact")).collect())) == sorted(map(repr, trades.collect()))
+    accounts = spark.createDataFrame([(1, "x, y", "USD")], ACCOUNT_SCHEMA)
+    write_account_files(accounts, str(tmp_path / "dim"))
+    assert read_account_files(spark, str(tmp_path / "dim")).collect() == accounts.collect()
+
+
+def test_publish_keeps_old_versions_readable(spark, tmp_path):
+    first = publish(spark.range(3), str(tmp_path), "numbers")
+    second = publish(spark.range(5), str(tmp_path), "numbers")
+    assert first.count() == 3 and second.count() == 5 and spark.table("numbers").count() == 5
+
+
+def test_delta_load(spark, tmp_path):
+    rows = [r for _, r in edge_rows()][:9]
+    old = [dict(r) for r in rows[:5]]
+    old[4].update(close_datetime=None, close_price=None, close_date_key=None)
+    source, target = trade_frame(spark, rows + [rows[8]]), trade_frame(spark, old)
+    fresh = delta_append(source, target)
+    assert sorted(r["ticket"] for r in fresh.collect()) == [5, 6, 7, 8, 9, 9]
+    assert [r["ticket"] for r in delta_stale(source, target).collect()] == [5]
+    loaded = delta_upsert(trade_frame(spark, rows), target)
+    assert sorted(map(repr, loaded.collect())) == sorted(map(repr, trade_frame(spark, rows).collect()))
+    path = str(tmp_path / "t")
+    append_table(target, path)
+    stored = spark.read.parquet(path)
+    append_table(delta_append(trade_frame(spark, rows), stored), path)
+    assert delta_append(trade_frame(spark, rows), spark.read.parquet(path)).count() == 0
+
+
+def test_validation(spark):
+    rows = [trade(1, 1, "buy", "eurusd", "2024-01-01 09:00:00"), trade(1, 1, "b" * 30, None, "2024-01-01 09:00:00"), trade(9, 2, None, "x" * 60, "2024-01-01 09:00:00")]
+    accounts = spark.createDataFrame([(1, "Ann", "DOLLARS"), (2, None, "GBP")], ACCOUNT_SCHEMA)
+    trades = trade_frame(spark, rows)
+    got = {tuple(r)[:3]: r["violations"] for r in validate_staging(trades, accounts).collect()}
+    found = {k: v for k, v in got.items() if v}
+    assert found == {
+        ("trade_history", "unique", "ticket"): 1,
+        ("trade_history", "max_length", "type"): 1,
+        ("trade_history", "max_length", "symbol"): 1,
+        ("trade_history", "not_null", "type"): 1,
+        ("trade_history", "foreign_key", "account_nr"): 1,
+        ("dim_account", "not_null", "account_name"): 1,
+        ("dim_account", "max_length", "account_currency"): 1,
+    }
+    assert repeated_keys(trades, "ticket").count() == 1 and orphans(trades, accounts).head()["account_nr"] == 9
+
+
+def test_switch_values(spark):
+    df = spark.createDataFrame([("a",), ("b",)], "c string")
+    mapped = df.select(switch_values(F.col("c"), {"a": "x"}, strict=False).alias("v"))
+    assert [r["v"] for r in mapped.collect()] == ["x", None]
+    with pytest.raises(Exception, match="no mapping"):
+        df.select(switch_values(F.col("c"), {"a": "x"}).alias("v")).collect()
+
+
+def test_recast(spark):
+    df = spark.createDataFrame([("2024-01-02 03:04:05", "1.5", "12.0", 7), (None, "x", "1.5", 8)], "d string, f string, i string, s int")
+    got = recast(df, ["d"], ["f"], ["i"], ["s"]).collect()
+    assert got[0]["f"] == 1.5 and got[0]["i"] == 12 and got[0]["s"] == "7" and got[0]["d"].year == 2024
+    assert got[1]["f"] is None and got[1]["i"] is None
+    with pytest.raises(Exception):
+        recast(df, date_cols=["f"]).collect()
+
+
+def test_names_and_row_keys(spark):
+    df = spark.createDataFrame([(1, None), (1, None), (2, "x")], "`Open  Date` int, Symbol string")
+    named = normalise_names(df)
+    assert named.columns == ["open_date", "symbol"]
+    keys = sorted(r["delta_id"] for r in with_row_key(distinct_rows(named)).collect())
+    assert keys == ["1-;-<null>", "2-;-x"]
+
+
+def test_dim_clock(spark):
+    clock = dims.dim_clock(spark).cache()
+    assert clock.count() == 86400 == clock.select("clock").distinct().count()
+    pick = lambda t, df=clock: tuple(df.filter(F.col("clock") == t).head())[4:]
+    assert pick("05:59:59") == (0, 0, "night", 4) and pick("06:00:00") == (0, 1, "morning", 1)
+    assert pick("09:00:00") == (1, 1, "morning", 1) and pick("17:00:00") == (1, 1, "evening", 3)
+    assert pick("16:59:59") == (1, 1, "afternoon", 2) and pick("21:00:00") == (0, 0, "night", 4)
+    assert pick("12:00:00", dims.dim_clock(spark, compat=True)) == (1, 1, "afternoon", None)
+
+
+def test_dim_date_is_gap_free(spark):
+    trades = trade_frame(spark, [trade(1, 1, "buy", "x", "2023-12-30 10:00:00")])
+    days = dims.dim_date(dims.trade_day_bounds(trades, "2024-03-02")).orderBy("cal_date").collect()
+    assert len(days) == 64 and days[0]["is_business_day"] == 0
+    leap = next(r for r in days if r["date_key"] == 20240229)
+    assert (leap["quarter_ending"], leap["week_of_month"], leap["day_name"], leap["week_day_num"]) == ("032024", "wk5", "Thu", 5)
+    calendar = dims.calendar(dims.trade_day_bounds(trades, "2024-03-02"), "day_of_trade", True)
+    assert calendar.filter("is_leap_year").count() == 62 and calendar.columns[0] == "day_of_trade"

@@ -77,8 +77,8 @@ def read_grid_files(spark, folder, file_types="csv"):
 
 def read_html_files(spark, folder, file_types="htm"):
     """One row per HTML file with its whole text."""
-    reader = spark.read.option("wholetext", True).option("pathGlobFilter", _type_glob(file_types))
-    return reader.text(folder).select(F.col("_metadata.file_name").alias("doc_id"), F.col("value").alias("html"))
+    reader = spark.read.option("pathGlobFilter", _type_glob(file_types))
+    return reader.text(folder, wholetext=True).select(F.col("_metadata.file_name").alias("doc_id"), F.col("value").alias("html"))
 
 
 def append_table(df, path):
