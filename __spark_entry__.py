@@ -16,9 +16,9 @@ from tradeloom.operators.cleaned import cleaned_features
 from tradeloom.operators.delta import delta_append, delta_stale, delta_upsert
 from tradeloom.operators.features import trade_features, trade_history
 from tradeloom.operators.quality import validate_staging
-from tradeloom.plans import cubes, reports
-from tradeloom.plans.gold import export_gold, gold_views
+from tradeloom.plans import cubes, gold, reports
 from tradeloom.plans.kpi import kpi_report
+from tradeloom.schemas import GOLD_TRADE_COLUMNS
 from tradeloom.session import scratch_path
 from tradeloom.sources import driver_tables as tables
 from tradeloom.sources.files import read_fact_files, write_fact_files
@@ -46,7 +46,7 @@ def _bounds(spark, d):
 
 
 def _gold(spark, d):
-    return gold_views(_features(spark, d), tables.accounts(spark, d), _bounds(spark, d))
+    return gold.gold_views(_features(spark, d), tables.accounts(spark, d), _bounds(spark, d))
 
 
 def _joined_summaries(spark, d):
@@ -112,7 +112,7 @@ def _csv_roundtrip(spark, d):
 
 def _export_gold(spark, d):
     views = _gold(spark, d)
-    paths = export_gold(views, scratch_path(spark, "gold"))
+    paths = gold.export_gold(views, scratch_path(spark, "gold"))
     counts = [
         spark.read.schema(views[name].schema)
         .option("header", True)
@@ -149,15 +149,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {
         "dedupe_last": tables.latest_trades,
         "trade_features": _features,
-        "trade_history": lambda s, d: _gold(s, d)["trade_history"],
+        "trade_history": lambda s, d: trade_history(_features(s, d)).select(*GOLD_TRADE_COLUMNS),
         "cleaned_features": _cleaned,
         "dim_account": lambda s, d: dims.dim_account(tables.accounts(s, d)),
         "dim_date": lambda s, d: dims.dim_date(_bounds(s, d)),
         "dim_clock": lambda s, d: reports.clock_activity(_features(s, d), dims.dim_clock(s)),
         "calendar_features": lambda s, d: dims.calendar(_bounds(s, d), features=True),
-        "gold_trade_history": lambda s, d: _gold(s, d)["trade_history"],
-        "gold_dim_account_info": lambda s, d: _gold(s, d)["dim_account_info"],
-        "gold_dim_date": lambda s, d: _gold(s, d)["dim_date"],
+        "gold_trade_history": lambda s, d: gold.trade_view(_features(s, d)),
+        "gold_dim_account_info": lambda s, d: gold.account_view(tables.accounts(s, d)),
+        "gold_dim_date": lambda s, d: gold.date_view(_bounds(s, d)),
         "daily_summary": _on_cleaned(cubes.daily_summary, empty_days="count"),
         "daily_main": _on_cleaned(cubes.daily_main),
         "daily_long": _on_cleaned(cubes.daily_side, word="long", empty_days="count"),

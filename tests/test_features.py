@@ -3,7 +3,7 @@ from decimal import Decimal
 import pytest
 from brute import cleaned as brute_cleaned
 from brute import warehouse as brute_warehouse
-from conftest import edge_rows, trade, trade_frame
+from conftest import trade, trade_frame
 
 from tradeloom.operators.cleaned import cleaned_features
 from tradeloom.operators.dedupe import dedupe_last

@@ -2,17 +2,17 @@
 
 Trades are aggregated once, without conditions, to cells of (account, day, symbol, type,
 outcome). Every daily table is a roll-up of cells, so its conditions are evaluated on cells
-and not on trades, and means and deviations come from exact sums.
+and not on trades, and means and deviations come from exact sums. The many measure
+expressions are SQL texts, which Spark parses in one step each.
 """
 
 from typing import NamedTuple
 
 from pyspark.sql import functions as F
 
-from tradeloom.functions.columns import float_round
 from tradeloom.schemas import LOST, NEUTRAL, WON
 
-RETURN_UNIT = 10_000.0
+RETURN_UNIT = 10000.0
 
 
 class Measure(NamedTuple):
@@ -181,44 +181,65 @@ def trade_cells(features, closes=False):
     )
 
 
-def measure_column(m):
-    """Aggregate expression of a measure over cells; NULL where nothing matches."""
-    condition = F.lit(True)
+def rounded_sql(value, digits):
+    """SQL text of float_round."""
+    if digits == 0:
+        return f"rint({value})"
+    return f"rint(({value}) * {10**digits}.0D) / {10**digits}.0D"
+
+
+def mean_return_sql(total, n):
+    """Mean return of `n` returns that sum to `total` units."""
+    return rounded_sql(f"try_divide(cast({total} as double) / {RETURN_UNIT}D, {n})", 4)
+
+
+def std_return_sql(total, squares, n):
+    """Sample deviation from exact sums; NULL below two returns."""
+    n = f"cast({n} as decimal(19,0))"
+    spread = f"cast({n} * {squares} - {total} * {total} as double)"
+    return rounded_sql(f"sqrt(try_divide({spread}, cast({n} * ({n} - 1) as double))) / {RETURN_UNIT}D", 4)
+
+
+def measure_sql(m):
+    """Aggregate over cells as SQL text; NULL where nothing matches."""
+    conditions = []
     if m.won is not None:
-        condition = condition & (F.col("trade_won") == m.won)
+        conditions.append(f"trade_won = {m.won}")
     if m.side is not None:
-        condition = condition & (F.col("type") == m.side)
-    plain = m.won is None and m.side is None
-    pick = (lambda name: F.col(name)) if plain else (lambda name: F.when(condition, F.col(name)))
-    total = lambda name: F.sum(pick(name))
+        conditions.append(f"type = '{m.side}'")
+    pick = (lambda c: f"case when {' and '.join(conditions)} then {c} end") if conditions else (lambda c: c)
+    total = lambda c: f"sum({pick(c)})"
 
     if m.how == "closes":
         return total("n_closes")
     if m.how == "count":
         return total(f"n_{m.base}")
-    if m.how == "max":
-        return F.max(pick(f"max_{m.base}")).cast("double")
-    if m.how == "min":
-        return F.min(pick(f"min_{m.base}")).cast("double")
+    if m.how in ("max", "min"):
+        return f"cast({m.how}({pick(f'{m.how}_{m.base}')}) as double)"
     if m.how == "sum":
-        value = total(f"sum_{m.base}").cast("double")
-        return value if m.digits is None else float_round(value, m.digits)
+        value = f"cast({total(f'sum_{m.base}')} as double)"
+        return value if m.digits is None else rounded_sql(value, m.digits)
     if m.how == "mean":
-        return float_round(F.try_divide(total(f"sum_{m.base}").cast("double"), total(f"n_{m.base}")), m.digits)
+        return rounded_sql(f"try_divide(cast({total(f'sum_{m.base}')} as double), {total(f'n_{m.base}')})", m.digits)
     if m.how == "mean_return":
-        return float_round(F.try_divide(total("sum_ret").cast("double") / RETURN_UNIT, total("n_ret")), m.digits)
+        return mean_return_sql(total("sum_ret"), total("n_ret"))
     if m.how == "std_return":
-        n = total("n_ret").cast("decimal(19,0)")
-        spread = (n * total("sum_ret_sq") - total("sum_ret") * total("sum_ret")).cast("double")
-        variance = F.try_divide(spread, (n * (n - 1)).cast("double"))
-        return float_round(F.sqrt(variance) / RETURN_UNIT, m.digits)
+        return std_return_sql(total("sum_ret"), total("sum_ret_sq"), total("n_ret"))
     raise ValueError(f"unknown aggregation {m.how}")
 
 
+def measure_column(m):
+    return F.expr(f"{measure_sql(m)} as {m.name}")
+
+
 def roll_up(cells, keys, measures, extra=()):
     """Cells to one row per key with the given measures."""
-    return cells.groupBy(*keys).agg(*[measure_column(m).alias(m.name) for m in measures], *extra)
+    return cells.groupBy(*keys).agg(*map(measure_column, measures), *extra)
 
 
 def zero(measure):
-    return F.lit(0).cast("long") if is_count(measure) else F.lit(0.0)
+    return "0L" if is_count(measure) else "0.0D"
+
+
+def zero_filled(measure):
+    return f"coalesce({measure.name}, {zero(measure)})"

@@ -1,7 +1,5 @@
 """Gold layer: explicit projections, temporary views and file export."""
 
-from pyspark.sql import functions as F
-
 from tradeloom.operators.dims import dim_account, dim_clock, dim_date
 from tradeloom.operators.features import trade_history
 from tradeloom.schemas import (
@@ -21,14 +19,29 @@ SORT_COLUMNS = {
 }
 
 
+def trade_view(features):
+    return trade_history(features).select(*GOLD_TRADE_COLUMNS)
+
+
+def account_view(accounts):
+    return dim_account(accounts).select(*GOLD_ACCOUNT_COLUMNS)
+
+
+def date_view(bounds):
+    return dim_date(bounds).select(*GOLD_DATE_COLUMNS)
+
+
+def clock_view(spark):
+    return dim_clock(spark).select(*GOLD_CLOCK_COLUMNS)
+
+
 def gold_views(features, accounts, bounds, register=False):
     """The four published frames by name; registered as temporary views on request."""
-    spark = features.sparkSession
     views = {
-        "trade_history": trade_history(features).select(*GOLD_TRADE_COLUMNS),
-        "dim_account_info": dim_account(accounts).select(*GOLD_ACCOUNT_COLUMNS),
-        "dim_date": dim_date(bounds).select(*GOLD_DATE_COLUMNS),
-        "dim_clock": dim_clock(spark).select(*GOLD_CLOCK_COLUMNS),
+        "trade_history": trade_view(features),
+        "dim_account_info": account_view(accounts),
+        "dim_date": date_view(bounds),
+        "dim_clock": clock_view(features.sparkSession),
     }
     if register:
         for name, df in views.items():

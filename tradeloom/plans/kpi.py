@@ -14,11 +14,16 @@ from tradeloom.operators.measures import (
     DAILY_SUMMARY,
     SIDES,
     is_count,
+    mean_return_sql,
     measure_column,
+    rounded_sql,
     side_measures,
+    std_return_sql,
     trade_cells,
+    zero_filled,
 )
-from tradeloom.schemas import TOTAL
+from tradeloom.plans.cubes import replaced
+from tradeloom.schemas import LOST, TOTAL
 
 # Fixed value: trading days per year in the ratios.
 TRADING_DAYS = 252
@@ -54,31 +59,27 @@ def _exact(c):
 def _day_of_symbols(cells, summary, sides):
     """(account, day): sums of the symbol rows, extreme trades, and totals for the day's own measures."""
     per_symbol = cells.groupBy("account_nr", "day", "symbol").agg(
-        *[measure_column(m).alias(m.name) for m in summary],
-        *[measure_column(m).alias(m.name) for ms in sides.values() for m in ms],
+        *map(measure_column, summary),
+        *[measure_column(m) for ms in sides.values() for m in ms],
         F.sum("n_rows").alias("n_rows"),
         # What the measures of the whole day are made of.
         *[F.sum(f"{part}").alias(f"day_{part}") for part in RETURN_PARTS],
-        *[F.sum(F.when(F.col("trade_won") == -1, F.col(part))).alias(f"neg_{part}") for part in RETURN_PARTS],
+        *[F.expr(f"sum(case when trade_won = {LOST} then {part} end) as neg_{part}") for part in RETURN_PARTS],
         *[F.sum(c).alias(f"day_{c}") for c in ("sum_size", "sum_pips", "n_scalping", "n_overnight")],
     ).filter("n_rows > 0")
 
     in_table = F.col("symbol").isNotNull()
-    columns = {}
-    for m in summary:
-        columns[m.name] = F.when(in_table, F.coalesce(F.col(m.name), F.lit(0)))
+    columns = {m.name: f"case when symbol is not null then {zero_filled(m)} end" for m in summary}
     for word, ms in sides.items():
-        opened = F.coalesce(f"{word}s_opened", F.lit(0)) > 0
-        for m in ms:
-            columns[m.name] = F.when(in_table & opened, F.coalesce(F.col(m.name), F.lit(0)))
-    rows = per_symbol.withColumns(columns)
+        columns |= {m.name: f"case when symbol is not null and {word}s_opened > 0 then {zero_filled(m)} end" for m in ms}
+    rows = replaced(per_symbol, columns)
 
     summed = [m for m in summary if m.name in SUMMED] + [m for ms in sides.values() for m in ms if not m.name.endswith("s_opened")]
     # Extremes: largest profit and loss, then earliest day, then first symbol.
     best = F.struct((0 - _exact("max_profit")).cast(TOTAL).alias("rank"), "day", "symbol")
     worst = F.struct(_exact("max_loss").alias("rank"), "day", "symbol")
     return rows.groupBy("account_nr", "day").agg(
-        *[F.sum(F.col(m.name) if is_count(m) else _exact(m.name)).alias(m.name) for m in summed],
+        *[F.expr(f"sum({m.name if is_count(m) else f'cast({m.name} as {TOTAL})'}) as {m.name}") for m in summed],
         F.min(F.when(in_table, best)).alias("best"),
         F.min(F.when(in_table, worst)).alias("worst"),
         *[F.sum(f"{prefix}_{part}").alias(f"{prefix}_{part}") for prefix in ("day", "neg") for part in RETURN_PARTS],
@@ -86,17 +87,9 @@ def _day_of_symbols(cells, summary, sides):
     )
 
 
-def _mean_return(prefix):
-    mean = F.try_divide(F.col(f"{prefix}_sum_ret").cast("double") / 10_000.0, F.col(f"{prefix}_n_ret"))
-    return F.coalesce(float_round(mean, 4), F.lit(0.0))
-
-
-def _std_return(prefix):
-    n = F.col(f"{prefix}_n_ret").cast("decimal(19,0)")
-    total = F.col(f"{prefix}_sum_ret")
-    spread = (n * F.col(f"{prefix}_sum_ret_sq") - total * total).cast("double")
-    variance = F.try_divide(spread, (n * (n - 1)).cast("double"))
-    return F.coalesce(float_round(F.sqrt(variance) / 10_000.0, 4), F.lit(0.0))
+def _daily(value, name):
+    """A day's rounded figure as an exact number; 0 where it has none."""
+    return f"cast(coalesce({value}, 0.0D) as decimal(28,4)) as {name}"
 
 
 def _days(cells, last_day):
@@ -126,9 +119,9 @@ def _days(cells, last_day):
         *sums,
         F.least(F.coalesce("best", own), gap).alias("best"),
         F.least(F.coalesce("worst", own), gap).alias("worst"),
-        _mean_return("day").cast("decimal(28,4)").alias("avg_return"),
-        _std_return("day").cast("decimal(28,4)").alias("std_return"),
-        _std_return("neg").cast("decimal(28,4)").alias("std_neg_return"),
+        F.expr(_daily(mean_return_sql("day_sum_ret", "day_n_ret"), "avg_return")),
+        F.expr(_daily(std_return_sql("day_sum_ret", "day_sum_ret_sq", "day_n_ret"), "std_return")),
+        F.expr(_daily(std_return_sql("neg_sum_ret", "neg_sum_ret_sq", "neg_n_ret"), "std_neg_return")),
         float_round(F.coalesce(F.col("day_sum_size").cast("double"), F.lit(0.0)), 4).cast(TOTAL).alias("traded_lots"),
         float_round(F.coalesce(F.col("day_sum_pips").cast("double"), F.lit(0.0)), 4).cast(TOTAL).alias("pips_gained"),
         F.col("day_n_scalping").alias("trade_scalping"),
@@ -139,7 +132,7 @@ def _days(cells, last_day):
 
 def _ratio(a, b, digits, factor=100.0):
     """a / b * factor, rounded; NULL when b is 0."""
-    return float_round(F.try_divide(F.col(a).cast("double"), F.col(b).cast("double")) * F.lit(factor), digits)
+    return F.expr(rounded_sql(f"try_divide(cast({a} as double), cast({b} as double)) * {factor}D", digits))
 
 
 def kpi_report(features, last_day=None):
@@ -149,8 +142,8 @@ def kpi_report(features, last_day=None):
     sums = [c for c in days.columns if c not in skipped]
     end = F.lit(last_day).cast("date") if last_day is not None else F.max("day")
     totals = days.groupBy("account_nr").agg(
-        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in sums],
-        *[F.sum(c).cast("double").alias(c) for c in MAIN_AVERAGED],
+        *[F.expr(f"coalesce(sum({c}), 0) as {c}") for c in sums],
+        *[F.expr(f"cast(sum({c}) as double) as {c}") for c in MAIN_AVERAGED],
         F.min("best").alias("best"),
         F.min("worst").alias("worst"),
         F.min(F.when(F.col("__traded"), F.col("day"))).alias("start_date"),
@@ -161,8 +154,8 @@ def kpi_report(features, last_day=None):
     rounded = lambda name, digits=2: float_round(c(name).cast("double"), digits)
     amounts = ["amount_won", "amount_lost"] + [f"{w}_amount_{o}" for w in SIDES for o in ("won", "lost")]
     totals = totals.withColumns({a: rounded(a) for a in amounts} | {m: float_round(c(m) / c("n_days") * 100.0, 2) for m in MAIN_AVERAGED})
-    plain = lambda name, alias: c(name).cast("long").alias(alias)
-    number = lambda name: c(name).cast("double").alias(name)
+    plain = lambda name, alias: F.expr(f"cast({name} as bigint) as {alias}")
+    number = lambda name: F.expr(f"cast({name} as double) as {name}")
     annual = F.sqrt(F.lit(float(TRADING_DAYS)))
     return totals.select(
         "account_nr",

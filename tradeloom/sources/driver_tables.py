@@ -2,9 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from tradeloom.functions.columns import date_key, money
+from tradeloom.functions.columns import money
 from tradeloom.operators.skew import HOT_ROWS, split_ledger
-from tradeloom.schemas import GRID_CELLS, GRID_TO_TRADE, TRADE_COLUMNS
+from tradeloom.schemas import GRID_CELLS, GRID_TO_TRADE
 
 # Symbol by supplier number modulo 8, currency by nation number modulo 4.
 SYMBOLS = ["eurusd", "gbpusd", "usdjpy", "audusd", "usdcad", "nzdusd", "eurgbp", "xauusd"]
@@ -64,77 +64,52 @@ def latest_trades(spark, sf_dir):
 def lines_to_trades(lines, keep=()):
     """Derive the trade columns of order lines."""
     lines = lines.select("account_nr", "ticket", *LINE_COLUMNS, "row_order", "row_order.*")
-    c = F.col
-    quantity = c("l_quantity").cast("int")
-    second_of_day = (c("l_partkey") * 97 + c("l_linenumber") * 3571) % 86400
-    duration_code = (c("l_partkey") + c("l_orderkey")) % 10
-    duration = (
-        F.when(duration_code == 0, 30 + quantity)
-        .when(duration_code == 1, 28800 + quantity * 600)
-        .otherwise(quantity * 300)
-    )
-    parity = (c("l_orderkey") + c("l_linenumber")) % 6
-    base = lines.select(
+    balance = "(l_linenumber = 7 and l_orderkey % 3 = 0)"
+    pending = "(l_linestatus = 'O' and l_orderkey % 5 = 0)"
+    second = "(l_partkey * 97 + l_linenumber * 3571) % 86400"
+    code, quantity = "(l_partkey + l_orderkey) % 10", "cast(l_quantity as int)"
+    duration = f"case {code} when 0 then 30 + {quantity} when 1 then 28800 + {quantity} * 600 else {quantity} * 300 end"
+    open_price = _money("1 + cast(l_partkey % 5000 as decimal(18,6)) / 10000")
+    symbols = ", ".join(f"'{symbol}'" for symbol in SYMBOLS)
+    base = lines.selectExpr(
         "*",
-        ((c("l_linenumber") == 7) & (c("l_orderkey") % 3 == 0)).alias("is_balance"),
-        ((c("l_linestatus") == "O") & (c("l_orderkey") % 5 == 0)).alias("is_open"),
-        second_of_day.alias("sec"),
-        duration.alias("dur"),
-        money(1 + (c("l_partkey") % 5000).cast("decimal(18,6)") / 10000).alias("open_px"),
-        parity.alias("parity"),
-    ).withColumn(
-        "close_px",
-        money(c("open_px") + money((c("l_discount").cast("decimal(18,6)") - F.lit("0.05").cast("decimal(18,6)")) / 10)),
+        f"{balance} as is_balance",
+        f"{pending} as is_open",
+        f"{open_price} as open_px",
+        _money(f"{open_price} + {_money('(cast(l_discount as decimal(18,6)) - 0.05) / 10')}") + " as close_px",
+        _money("cast(l_quantity as decimal(18,6)) / 100") + " as size",
+        f"""case when {balance} then 'balance' when l_returnflag = 'A' then 'buy' when l_returnflag = 'R' then 'sell'
+            when l_partkey % 2 = 0 then 'buy' else 'sell' end as type""",
+        f"timestampadd(SECOND, cast({second} as int), o_orderdate) as open_datetime",
+        f"case when not {pending} then timestampadd(SECOND, cast({second} + {duration} as int), o_orderdate) end as close_datetime",
     )
-    side = (
-        F.when(c("is_balance"), "balance")
-        .when(c("l_returnflag") == "A", "buy")
-        .when(c("l_returnflag") == "R", "sell")
-        .when(c("l_partkey") % 2 == 0, "buy")
-        .otherwise("sell")
-    )
-    size = money(c("l_quantity").cast("decimal(18,6)") / 100)
-    move = F.when(c("type") == "buy", c("close_px") - c("open_px")).otherwise(c("open_px") - c("close_px"))
-    cell = lambda value: money(F.when(~c("is_balance"), value))
-    trades = (
-        base.withColumn("type", side)
-        .withColumn("open_datetime", F.expr("timestampadd(SECOND, cast(sec as int), o_orderdate)"))
-        .withColumn(
-            "close_datetime",
-            F.expr("case when not is_open then timestampadd(SECOND, cast(sec + dur as int), o_orderdate) end"),
-        )
-        .withColumn("size", size)
-        .select(
-            "account_nr",
-            "ticket",
-            "open_datetime",
-            "close_datetime",
-            date_key(c("open_datetime")).alias("open_date_key"),
-            date_key(c("close_datetime")).alias("close_date_key"),
-            "type",
-            F.when(
-                ~c("is_balance"),
-                F.element_at(F.array(*map(F.lit, SYMBOLS)), (c("l_suppkey") % 8 + 1).cast("int")),
-            ).alias("symbol"),
-            "size",
-            c("open_px").alias("open_price"),
-            F.when(~c("is_open"), c("close_px")).alias("close_price"),
-            cell(c("l_tax").cast("decimal(18,6)")).alias("commission"),
-            cell(F.when(c("l_linenumber") % 2 == 0, F.lit("0.02")).otherwise(F.lit("0")).cast("decimal(18,6)")).alias("swap"),
-            F.when(c("is_balance"), money("l_extendedprice"))
-            .when(c("is_open"), money(F.lit(0)))
-            .otherwise(money(move * c("size") * 100000))
-            .alias("profit"),
-            cell(F.when(c("parity") == 0, c("close_px")).otherwise(c("open_px") - F.lit("0.01").cast("decimal(18,6)"))).alias("stop_loss"),
-            cell(
-                F.when(c("parity") == 1, c("close_px")).when(
-                    c("parity") != 2, c("open_px") + F.lit("0.01").cast("decimal(18,6)")
-                )
-            ).alias("take_profit"),
-            *keep,
-        )
+    key = "cast(year({0}) * 10000 + month({0}) * 100 + dayofmonth({0}) as bigint)"
+    parity = "(l_orderkey + l_linenumber) % 6"
+    cell = lambda value, name: f"case when not is_balance then {_money(value)} end as {name}"
+    return base.selectExpr(
+        "account_nr",
+        "ticket",
+        "open_datetime",
+        "close_datetime",
+        f"{key.format('open_datetime')} as open_date_key",
+        f"{key.format('close_datetime')} as close_date_key",
+        "type",
+        f"case when not is_balance then element_at(array({symbols}), cast(l_suppkey % 8 + 1 as int)) end as symbol",
+        "size",
+        "open_px as open_price",
+        "case when not is_open then close_px end as close_price",
+        cell("l_tax", "commission"),
+        cell("case when l_linenumber % 2 = 0 then 0.02 else 0 end", "swap"),
+        f"""case when is_balance then {_money("l_extendedprice")} when is_open then {_money("0")}
+            else {_money("case when type = 'buy' then close_px - open_px else open_px - close_px end * size * 100000")} end as profit""",
+        cell(f"case when {parity} = 0 then close_px else open_px - 0.01 end", "stop_loss"),
+        cell(f"case when {parity} = 1 then close_px when {parity} <> 2 then open_px + 0.01 end", "take_profit"),
+        *keep,
     )
-    return trades.select(*TRADE_COLUMNS, *keep)
+
+
+def _money(value):
+    return f"cast({value} as decimal(18,6))"
 
 
 def accounts(spark, sf_dir):
