@@ -56,8 +56,9 @@ def test_statement_accounts(grid):
     assert got == {("a.xls", 11, "Ann Lee", "USD"), ("b.xls", 12, "Bo Ek", "GBP"), ("c.xls", 11, "Ann Lee", "USD")}
 
 
-def test_statement_trades(grid):
-    got = {r["ticket"]: r for r in statement_trades(grid).collect()}
+@pytest.mark.parametrize("hot_rows", [1000, 3, 0])
+def test_statement_trades(grid, hot_rows):
+    got = {r["ticket"]: r for r in statement_trades(grid, hot_rows).collect()}
     assert set(got) == {100, 102, 200}
     assert got[100]["profit"] == 9 and got[100]["account_nr"] == 11
     assert got[102]["size"] is None and got[102]["open_date_key"] == 20240103

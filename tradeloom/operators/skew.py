@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tradeloom.functions.columns import null_safe_plus
 from tradeloom.operators.dedupe import dedupe_last
+from tradeloom.session import stored
 
 HOT_ROWS = 2_000_000
 # Tickets are unique within an account, so one ticket range holds at most 2**20 rows.
@@ -41,6 +42,20 @@ def split_hot(df, key, hot_rows=HOT_ROWS):
     return df.join(listed, key, "left_anti"), df.join(listed, key, "left_semi")
 
 
+def join_lookup(rows, lookup, key, hot_rows=HOT_ROWS):
+    """Inner join with a table of one row per key, where few keys may hold most rows.
+
+    Lookup rows of hot keys are broadcast; they are as few as the hot keys themselves.
+    """
+    hot = hot_keys(rows, key, hot_rows)
+    if hot.isEmpty():
+        return rows.join(lookup, key)
+    listed = F.broadcast(hot)
+    ordinary = rows.join(listed, key, "left_anti").join(lookup, key)
+    few = F.broadcast(lookup.join(listed, key, "left_semi"))
+    return ordinary.unionByName(rows.join(few, key))
+
+
 class Ledger(NamedTuple):
     """Account rows in two parts: ordinary accounts, partitioned by account, and hot ones."""
 
@@ -51,9 +66,16 @@ class Ledger(NamedTuple):
         return Ledger(function(self.ordinary), None if self.hot is None else function(self.hot))
 
     def combine(self, ordinary, hot):
-        """Apply one function per part and put the parts together again."""
+        """Apply one function per part and put the parts together again.
+
+        The hot part is written to the shared folder first: its function reads the rows
+        several times, and stored rows also survive the loss of executors.
+        """
         done = ordinary(self.ordinary)
-        return done if self.hot is None else done.unionByName(hot(self.hot))
+        return done if self.hot is None else done.unionByName(hot(stored(self.hot, "hot-accounts")))
+
+    def union(self):
+        return self.ordinary if self.hot is None else self.ordinary.unionByName(self.hot)
 
 
 def split_ledger(rows, row_order=None, hot_rows=HOT_ROWS):

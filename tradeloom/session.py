@@ -7,8 +7,19 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def build_session(app_name="tradeloom", master=None, **conf):
-    """Session with the settings the package relies on: ANSI, UTC, adaptive execution."""
+PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def shuffle_partitions(input_bytes):
+    """Partitions that keep about 128 MB of shuffled rows each; adaptive execution merges small ones."""
+    return max(200, -(-input_bytes // PARTITION_BYTES))
+
+
+def build_session(app_name="tradeloom", master=None, input_bytes=None, **conf):
+    """Session with the settings the package relies on: ANSI, UTC, adaptive execution.
+
+    Give `input_bytes` for large inputs: 100 TB make about 800,000 shuffle partitions.
+    """
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.session.timeZone", "UTC")
@@ -20,6 +31,8 @@ def build_session(app_name="tradeloom", master=None, **conf):
     )
     if master:
         builder = builder.master(master)
+    if input_bytes:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions(input_bytes)))
     for key, value in conf.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
@@ -43,3 +56,10 @@ def shared_folder(spark):
 def scratch_path(spark, name):
     """A fresh path below the shared folder; never reused, so a retry cannot see old files."""
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df, name):
+    """Write a frame below the shared folder and read it back, which cuts its lineage."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
