@@ -19,7 +19,7 @@ from tradeloom.operators.quality import validate_staging
 from tradeloom.plans import cubes, gold, reports
 from tradeloom.plans.kpi import kpi_report
 from tradeloom.schemas import GOLD_TRADE_COLUMNS
-from tradeloom.session import scratch_path
+from tradeloom.session import scratch_path, stored
 from tradeloom.sources import driver_tables as tables
 from tradeloom.sources.files import read_fact_files, write_fact_files
 from tradeloom.sources.statements import html_rows, statement_accounts, statement_trades, typed_trades
@@ -172,7 +172,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "weekday_amounts": _on_cleaned(reports.weekday_amounts),
         "daily_net_profit": _on_cleaned(reports.daily_net_profit),
         "pips_vs_duration": _on_cleaned(reports.pips_vs_duration),
-        "statement_parse": lambda s, d: statement_trades(tables.statement_grid(s, d)),
+        "statement_parse": lambda s, d: statement_trades(stored(tables.statement_grid(s, d), "grid")),
         "statement_accounts": lambda s, d: statement_accounts(tables.statement_grid(s, d)),
         "html_statement_rows": _html_statement_rows,
         "recast_types": _recast_types,
