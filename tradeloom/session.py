@@ -26,8 +26,6 @@ def build_session(app_name="tradeloom", master=None, input_bytes=None, **conf):
         .config("spark.sql.ansi.enabled", "true")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        # Wide daily tables: code beyond the JIT's method size runs interpreted otherwise.
-        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
     if master:
         builder = builder.master(master)
