@@ -24,6 +24,13 @@ from tradeloom.sources import driver_tables as tables
 from tradeloom.sources.files import read_fact_files, write_fact_files
 from tradeloom.sources.statements import html_rows, statement_accounts, statement_trades, typed_trades
 
+try:
+    import tradeloom.llm.queries as llm
+except ModuleNotFoundError as missing:  # the subpackage and its pipeline can be left out as a whole
+    if missing.name != "corpus_pipeline" and not str(missing.name).startswith("tradeloom.llm"):
+        raise
+    llm = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
@@ -189,8 +196,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
     for name in reports.RISK_FLAGS:
         found[name] = _on_cleaned(reports.risk_list, name=name)
-    return {name: (lambda s, d, query=query: _edge(query(s, d))) for name, query in found.items()}
+    found = {name: (lambda s, d, query=query: _edge(query(s, d))) for name, query in found.items()}
+    return found | (llm.QUERIES if llm else {})
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.queries()
+    return oracles.queries() | (llm.ORACLE_SQL if llm else {})

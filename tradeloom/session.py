@@ -1,7 +1,5 @@
 """Session defaults and the shared scratch folder."""
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -37,18 +35,13 @@ def build_session(app_name="tradeloom", master=None, input_bytes=None, **conf):
 
 
 def shared_folder(spark):
-    """The folder all executors can reach, as named by the cluster in spark.checkpoint.dir.
+    """The folder that driver and executors share, as the cluster names it in spark.checkpoint.dir.
 
-    Only a local-mode session without that setting (tests) gets a temporary folder.
+    A session without that setting uses its warehouse, which Spark itself shares. The caller's
+    session is left as it is.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = os.path.join(tempfile.gettempdir(), "tradeloom-local")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def scratch_path(spark, name):
