@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 from tradeloom.session import stored
 
-BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+# All but a-z, 0-9 and what is not ASCII; the commonest range first, as matching tries them in turn.
+BREAK = r"[^a-z0-9\x{80}-\x{10FFFF}]+"
+WORD = r"[a-zA-Z0-9\x{80}-\x{10FFFF}]+"
 WINDOW = 10
 GRAM = 5
 KEY = ["__id", "__hash"]
@@ -29,22 +30,25 @@ def words(text):
     return F.array_remove(F.split(F.coalesce(folded, F.lit("")), BREAK), "")
 
 
-def _hash_of_run(first, n):
-    return F.xxhash64(*[F.get("hashes", first + k) for k in range(n)])
-
-
-def _fingerprint(first, size, gram):
-    """Least hash of the word runs in the window of `size` words that begins at `first`."""
+def fingerprints(texts, size, gram):
+    """`prints`: for each window of `size` words the least hash of its runs of `gram` words."""
     n = min(gram, size)
-    runs = [_hash_of_run(first + k, n) for k in range(size - n + 1)]
-    return F.least(*runs) if len(runs) > 1 else runs[0]
+    run = lambda x, i: F.xxhash64(x, *[F.get("hashes", i + k) for k in range(1, n)])
+    least = lambda x, i: F.least(x, *[F.get("runs", i + k) for k in range(1, size - n + 1)]) if size > n else x
+    count = F.greatest(F.size("hashes") - (size - 1), F.lit(0))
+    # Arrays in steps of their own: each is computed once per text.
+    return (
+        texts.withColumn("runs", F.slice(F.transform("hashes", run), 1, F.greatest(F.size("hashes") - (n - 1), F.lit(0))))
+        .withColumn("prints", F.slice(F.transform("runs", least), 1, count))
+        .drop("runs")
+    )
 
 
 def windows(texts, size, gram):
-    """One row per window: the columns of `texts` (with `words`, `hashes`), first, fingerprint."""
-    count = F.size("hashes")
-    positions = F.when(count >= size, F.sequence(F.lit(0), count - size))
-    return texts.withColumn("first", F.explode(positions)).withColumn("fingerprint", _fingerprint(F.col("first"), size, gram))
+    """One row per window: the columns of `texts`, first (word number from 0), fingerprint."""
+    marked = fingerprints(texts, size, gram)
+    # An inner explode would make Spark infer a filter on the array and compute it inside itself.
+    return marked.select(*texts.columns, F.posexplode_outer("prints").alias("first", "fingerprint")).filter("first >= 0")
 
 
 def with_words(df, text):
@@ -85,11 +89,9 @@ def mark_contaminated(docs, benchmark, id="doc_id", text="text", item_id="item_i
         own = items.filter(F.size("words") >= window if size == window else F.size("words") == size)
         targets = windows(own, size, gram).select("item", "fingerprint", _window_text(size).alias("window"))
         prints = targets.select("fingerprint").distinct()
-        previous = _fingerprint(c("first") - 1, size, gram)
         touched = (
-            windows(with_words(narrow, "text"), size, gram)
-            .filter((c("first") == 0) | (c("fingerprint") != previous))
-            .select(*KEY, "fingerprint")
+            fingerprints(with_words(narrow, "text"), size, gram)
+            .select(*KEY, F.explode_outer(F.array_distinct("prints")).alias("fingerprint"))
             .join(prints, "fingerprint", "left_semi")
             .select(*KEY)
             .distinct()
