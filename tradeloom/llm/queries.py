@@ -2,13 +2,17 @@
 
 from pyspark.sql import functions as F
 
-from tradeloom.llm import decontaminate, mixing
+from tradeloom.llm import decontaminate, mixing, near_dedup
 
 
 def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_near_dedup(spark, sf_dir):
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_decontaminate(spark, sf_dir):
     marked = decontaminate.mark_contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return marked.select(
@@ -26,6 +30,7 @@ def op10_mixing(spark, sf_dir):
 
 
 QUERIES = {
+    "op2_near_dedup": op2_near_dedup,
     "op4_decontaminate": op4_decontaminate,
     "op10_mixing": op10_mixing,
 }
