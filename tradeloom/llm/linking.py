@@ -1,9 +1,9 @@
 """Connected components of documents or lines that share buckets, for buckets of any size.
 
-A bucket with n members is never expanded into its n*n pairs. Its members are first compared
-with one centre, the smallest node. Verified links are grouped by distributed union-find, and
-only in buckets whose members are then still in different groups are members of different
-groups compared with each other. So no link between nodes that share a bucket is lost: a pair
+A bucket with n members is not expanded into its n*n pairs. Its members are first compared with
+one centre, in a few rounds with another centre each, and verified links are grouped by
+distributed union-find after each round. Only in buckets whose members are then still in
+different groups are members of different groups compared with each other. So no link between nodes that share a bucket is lost: a pair
 left out is in one group already.
 """
 
@@ -35,36 +35,67 @@ def components(edges):
         seen = state
 
 
-def bucket_components(members, verify):
-    """(node, root) for the nodes that verified links connect, and the links: (a, b).
+def bucket_components(members, verify, rounds=2, across=None):
+    """(node, root) for the nodes that verified links connect.
 
     members: (bucket, node, plus columns that `verify` wants as a and b structs).
     verify:  takes pairs (a struct, b struct, a.node > b.node), returns those that are links.
+    across:  for the last step: takes the rows (bucket, member, group) of the buckets that still
+             hold different groups, returns links (a, b) between groups; by default all pairs
+             of members of different groups are verified.
     """
-    info = [c for c in members.columns if c != "bucket"]
-    member = F.struct(*[F.col(c) for c in ["node", *[c for c in info if c != "node"]]]).alias("member")
-    members = members.select("bucket", member).distinct()
-    centres = members.groupBy("bucket").agg(F.min("member").alias("b"), F.count("*").alias("n")).filter("n > 1")
-    shared = stored(members.join(centres, "bucket").select("bucket", "member", "b"), "shared-buckets")
-    pairs = shared.select(F.col("member").alias("a"), "b").filter("a.node > b.node").distinct()
-    links = stored(verify(pairs).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")), "star-links")
-    roots = components(links)
-
-    group = F.coalesce("root", F.col("member.node"))
-    grouped = (
-        shared.select("bucket", "member", F.col("member.node").alias("node")).join(roots, "node", "left").select("bucket", "member", group.alias("group"))
-    )
-    split = grouped.groupBy("bucket").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter("low < high")
-    open_members = stored(grouped.join(split.select("bucket"), "bucket", "left_semi"), "open-buckets")
-    left = open_members.select("bucket", F.col("member").alias("a"), F.col("group").alias("group_a"))
-    right = open_members.select("bucket", F.col("member").alias("b"), F.col("group").alias("group_b"))
-    across = (
-        left.join(right, "bucket").filter("a.node > b.node and group_a <> group_b").select("a", "b").distinct()
-        .join(pairs.select(F.col("a.node").alias("x"), F.col("b.node").alias("y")),
-              (F.col("a.node") == F.col("x")) & (F.col("b.node") == F.col("y")), "left_anti")
-    )
-    more = stored(verify(across).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")), "cross-links")
-    if more.isEmpty():
-        return roots, links
-    edges = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)
-    return components(edges), links.unionByName(more)
+    rest = [c for c in members.columns if c not in ("bucket", "node")]
+    members = members.select("bucket", F.struct("node", *rest).alias("member")).distinct()
+    counts = members.groupBy("bucket").agg(F.min("member.node").alias("low"), F.max("member.node").alias("high"))
+    split = counts.filter("low < high").select("bucket")
+    shared = members.withColumn("group", F.col("member.node"))
+    edges, tested = None, None
+    for turn in range(rounds + 1):
+        shared = stored(shared.join(split, "bucket", "left_semi"), "split-buckets")
+        if turn == rounds and across:
+            links = across(shared)
+        else:
+            pairs = (_with_centre(shared, turn) if turn < rounds else _across(shared)).distinct()
+            if tested is not None:
+                pairs = pairs.join(tested, F.struct("a.node", "b.node") == F.col("done"), "left_anti")
+            pairs = stored(pairs, "pairs")
+            done = pairs.select(F.struct("a.node", "b.node").alias("done"))
+            tested = done if tested is None else tested.unionByName(done)
+            links = verify(pairs).select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
+        if edges is not None:
+            links = links.unionByName(edges)
+        roots = components(links)
+        edges = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        named = roots.select(F.col("node").alias("known"), "root")
+        shared = shared.join(named, F.col("member.node") == F.col("known"), "left").select(
+            "bucket", "member", F.coalesce("root", "member.node").alias("group")
+        )
+        open_ones = shared.groupBy("bucket").agg(F.min("group").alias("low"), F.max("group").alias("high"))
+        split = open_ones.filter("low < high").select("bucket")
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+
+
+def _ordered(one, other):
+    swap = F.col(f"{one}.node") < F.col(f"{other}.node")
+    return [
+        F.when(swap, F.col(other)).otherwise(F.col(one)).alias("a"),
+        F.when(swap, F.col(one)).otherwise(F.col(other)).alias("b"),
+    ]
+
+
+def _with_centre(shared, turn):
+    """Every member with its bucket's centre, where they are in different groups.
+
+    The first centre is the smallest node, so that copies meet the same partner in every bucket;
+    later ones differ from bucket to bucket.
+    """
+    order = F.struct(F.lit(0).alias("x") if turn == 0 else F.xxhash64("bucket", "member.node", F.lit(turn)).alias("x"), "member", "group")
+    centres = shared.groupBy("bucket").agg(F.min(order).alias("centre"))
+    both = shared.join(centres, "bucket").filter(F.col("group") != F.col("centre.group"))
+    return both.select("member", F.col("centre.member").alias("centre")).select(*_ordered("member", "centre"))
+
+
+def _across(shared):
+    """All members of different groups that share a bucket."""
+    sides = [shared.select("bucket", F.col("member").alias(x), F.col("group").alias(f"group_{x}")) for x in "ab"]
+    return sides[0].join(sides[1], "bucket").filter("a.node > b.node and group_a <> group_b").select("a", "b")

@@ -15,12 +15,13 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tradeloom.llm import textbatch as tb
-from tradeloom.llm.linking import bucket_components
+from tradeloom.llm.linking import bucket_components, components
 from tradeloom.session import stored
 
 WIDTH = 5
 PERCENT = 75
 BANDS, ROWS = 32, 4
+BLOCK = 1_000_000  # elements of the sets that are compared in one task, twice
 U64 = np.uint64
 
 
@@ -78,6 +79,37 @@ def _set_rows(part):
         )
 
 
+def _block_links(percent):
+    def links(table):
+        """One link for each node and other group, among the nodes of two blocks (or within one)."""
+        node, group, block = (table.column(c).to_numpy() for c in ("node", "group", "block"))
+        elements = table.column("elements").combine_chunks()
+        sizes = np.diff(elements.offsets.to_numpy())
+        owner = np.repeat(np.arange(len(node)), sizes)
+        _, element = np.unique(elements.flatten().to_numpy(), return_inverse=True)
+        by_element = np.argsort(element, kind="stable")
+        holders = owner[by_element]
+        first = np.concatenate(([0], np.cumsum(np.bincount(element))))
+        edges = np.concatenate(([0], np.cumsum(sizes)))
+        same_block = table.column("i")[0].as_py() == table.column("j")[0].as_py()
+        a, b = [], []
+        for x in range(len(node)):
+            own = element[edges[x] : edges[x + 1]]
+            starts, counts = first[own], first[own + 1] - first[own]
+            at = np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+            common = np.bincount(holders[at], minlength=len(node))
+            linked = (100 * common >= percent * (sizes[x] + sizes - common)) & (group != group[x]) & (node < node[x])
+            if not same_block:
+                linked &= block != block[x]
+            partners = np.flatnonzero(linked)
+            partners = partners[np.unique(group[partners], return_index=True)[1]]
+            a.extend([node[x]] * len(partners))
+            b.extend(node[partners])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return links
+
+
 def near_duplicates(docs, id="doc_id", text="text", percent=PERCENT):
     """Per row: id, n_shingles, component_id, kept.
 
@@ -100,20 +132,41 @@ def near_duplicates(docs, id="doc_id", text="text", percent=PERCENT):
     )
     members = nodes.select(F.col("id").alias("node"), "n", F.explode("bands").alias("bucket"))
 
+    def sets_of(wanted):
+        wanted = stored(wanted.select(F.col("node").alias("id")).distinct(), "compared")
+        return narrow.join(wanted, "id", "left_semi").mapInArrow(_set_rows, "id long, elements array<long>")
+
+    def across(shared):
+        """Links between groups: nodes that buckets connect are compared in blocks of bounded size."""
+        hub = shared.groupBy("bucket").agg(F.min("member.node").alias("b"))
+        meet = shared.join(hub, "bucket").select(F.col("member.node").alias("a"), "b").distinct()
+        areas = components(meet).unionByName(meet.select(F.col("b").alias("node"), F.col("b").alias("root"))).groupBy("node")
+        areas = areas.agg(F.min("root").alias("area"))
+        own = stored(shared.select("member.node", "member.n", "group").distinct().join(areas, "node"), "areas")
+        sizes = own.groupBy("area").agg(
+            F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"), F.min("group").alias("low"), F.max("group").alias("high")
+        )
+        placed = own.join(sizes.filter("low < high").select("area", "blocks"), "area").withColumn(
+            "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+        )
+        other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+        placed = placed.withColumn("other", other).select(
+            "area", "node", "group", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
+        )
+        sets = sets_of(own.select("node")).withColumnRenamed("id", "node")
+        return placed.join(sets, "node").groupBy("area", "i", "j").applyInArrow(_block_links(percent), "a long, b long")
+
     def verify(pairs):
         close = pairs.filter(f"100 * least(a.n, b.n) >= {percent} * greatest(a.n, b.n)")
-        close = stored(close, "pairs")
-        wanted = close.select("a.node").unionAll(close.select("b.node")).distinct()
-        wanted = stored(wanted.select(F.col("node").alias("id")), "compared")
-        texts = narrow.join(wanted, "id", "left_semi")
-        sets = stored(texts.mapInArrow(_set_rows, "id long, elements array<long>"), "sets")
+        close = stored(close, "close-pairs")
+        sets = stored(sets_of(close.select("a.node").unionAll(close.select("b.node"))), "sets")
         one, two = (sets.select(F.col("id").alias(f"id_{x}"), F.col("elements").alias(f"set_{x}")) for x in "ab")
         both = close.join(one, F.col("a.node") == F.col("id_a")).join(two, F.col("b.node") == F.col("id_b"))
         common = F.size(F.array_intersect("set_a", "set_b"))
         union = F.size("set_a") + F.size("set_b") - common
         return both.filter(100 * common >= percent * union).select("a", "b")
 
-    roots, _ = bucket_components(members, verify)
+    roots = bucket_components(members, verify, across=across)
     labels = classes.join(roots, "node", "left").select(*same, F.coalesce("root", "node").alias("component"))
     result = signatures.select("id", *same).join(labels, same, "left")
     own = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
