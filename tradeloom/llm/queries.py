@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tradeloom.llm import decontaminate, mixing, near_dedup
+from tradeloom.llm import decontaminate, line_dedup, mixing, near_dedup
 
 
 def table(spark, sf_dir, name):
@@ -25,6 +25,11 @@ def op4_decontaminate(spark, sf_dir):
     )
 
 
+def op9_line_dedup(spark, sf_dir):
+    done = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+
+
 def op10_mixing(spark, sf_dir):
     return mixing.mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -32,6 +37,7 @@ def op10_mixing(spark, sf_dir):
 QUERIES = {
     "op2_near_dedup": op2_near_dedup,
     "op4_decontaminate": op4_decontaminate,
+    "op9_line_dedup": op9_line_dedup,
     "op10_mixing": op10_mixing,
 }
 ORACLE_SQL = {
