@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tradeloom.llm import decontaminate, line_dedup, mixing, near_dedup
+from tradeloom.llm import decontaminate, line_dedup, mixing, near_dedup, quality
 
 
 def table(spark, sf_dir, name):
@@ -13,6 +13,11 @@ def op2_near_dedup(spark, sf_dir):
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_quality(spark, sf_dir):
+    scored = quality.score_quality(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return scored.select("doc_id", "quality_score", "accepted")
+
+
 def op4_decontaminate(spark, sf_dir):
     marked = decontaminate.mark_contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return marked.select(
@@ -36,6 +41,7 @@ def op10_mixing(spark, sf_dir):
 
 QUERIES = {
     "op2_near_dedup": op2_near_dedup,
+    "op3_quality": op3_quality,
     "op4_decontaminate": op4_decontaminate,
     "op9_line_dedup": op9_line_dedup,
     "op10_mixing": op10_mixing,
