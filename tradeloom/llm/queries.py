@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tradeloom.llm import decontaminate, line_dedup, mixing, near_dedup, quality
+from tradeloom.llm import decontaminate, line_dedup, mixing, near_dedup, quality, toxicity
 
 
 def table(spark, sf_dir, name):
@@ -30,6 +30,12 @@ def op4_decontaminate(spark, sf_dir):
     )
 
 
+def op7_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score_toxicity(docs, table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 def op9_line_dedup(spark, sf_dir):
     done = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return done.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
@@ -43,6 +49,7 @@ QUERIES = {
     "op2_near_dedup": op2_near_dedup,
     "op3_quality": op3_quality,
     "op4_decontaminate": op4_decontaminate,
+    "op7_toxicity": op7_toxicity,
     "op9_line_dedup": op9_line_dedup,
     "op10_mixing": op10_mixing,
 }
