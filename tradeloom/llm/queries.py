@@ -2,13 +2,18 @@
 
 from pyspark.sql import functions as F
 
-from tradeloom.llm import decontaminate, line_dedup, mixing, near_dedup, quality, toxicity
+from tradeloom.llm import decontaminate, line_dedup, mixing, near_dedup, quality, tokens, toxicity
 
 
 def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_token_counts(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return tokens.count_tokens(docs, tokens.read_vocabulary(spark)).select("doc_id", "n_words", "n_tokens")
+
+
 def op2_near_dedup(spark, sf_dir):
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -46,6 +51,7 @@ def op10_mixing(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_token_counts": op1_token_counts,
     "op2_near_dedup": op2_near_dedup,
     "op3_quality": op3_quality,
     "op4_decontaminate": op4_decontaminate,

@@ -13,9 +13,10 @@ from pyspark.sql import types as T
 
 from tradeloom.llm import textbatch as tb
 from tradeloom.llm.linear import fit, sigmoid
+from tradeloom.session import stored
 
 U64 = np.uint64
-LENGTHS = (3, 4, 5, 6)
+LENGTHS = (3, 4, 5)
 SIZE_BITS = 20
 SMOOTHING = 2.0
 LEAST_RATIO = 1.0  # smaller ratios, either way, are left out
@@ -117,13 +118,14 @@ def log_count_ratios(clean, toxic):
     return np.where(np.abs(ratios) >= LEAST_RATIO, ratios, 0.0)
 
 
-def train(labelled, train_rows=TRAIN_ROWS):
-    """(weights, bias) from rows (text, toxic). Counts cover all rows; about `train_rows` of them,
+def train(labelled, n_rows, train_rows=TRAIN_ROWS):
+    """(weights, bias) from `n_rows` rows (text, toxic). Counts cover all rows; about `train_rows` of them,
     chosen by a hash of the text, fit the classifier, and twice as many never come together."""
     rows = labelled.filter("toxic is not null").select("text", F.col("toxic").cast("int").alias("toxic"))
     size = 1 << SIZE_BITS
     counted = rows.mapInArrow(_label_counts, "feature long, clean double, toxic double")
     counted = counted.groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    counted = stored(counted, "gram-counts")
     # At most 2**SIZE_BITS rows, of which only the telling ones are sent on.
     sums = counted.agg(F.sum("clean"), F.sum("toxic")).first()
     if not sums[0] or not sums[1]:
@@ -133,7 +135,6 @@ def train(labelled, train_rows=TRAIN_ROWS):
     clean[table.column("feature").to_numpy()] = table.column("clean").to_numpy()
     toxic[table.column("feature").to_numpy()] = table.column("toxic").to_numpy()
     ratios = log_count_ratios(clean, toxic)
-    n_rows = rows.count()
     share = int(min(1.0, train_rows / max(n_rows, 1)) * (1 << 20)) + 1
     chosen = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share)
     sample = chosen.mapInArrow(_rows_of_features(ratios), "target double, features array<long>, times array<long>")
@@ -164,7 +165,7 @@ def score_toxicity(docs, labels, id="doc_id", text="text", label="toxic", train_
     c = F.col
     training = docs.select(c(id).alias("id"), c(text).alias("text")).filter(~held_out(c("id")))
     marked = labels.select(c(id).alias("id"), c(label).alias("toxic")).filter(~held_out(c("id")))
-    weights, bias = train(training.join(marked, "id"), train_rows)
+    weights, bias = train(training.join(marked, "id"), marked.filter("toxic is not null").count(), train_rows)
     kept = docs.drop("score", "held_out", "predicted")
     schema = T.StructType([*kept.schema.fields, T.StructField("score", T.DoubleType())])
     scored = kept.mapInArrow(_scores(weights, bias, text), schema)
