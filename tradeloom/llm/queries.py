@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tradeloom.llm import decontaminate, line_dedup, mixing, near_dedup, quality, tokens, toxicity
+from tradeloom.llm import decontaminate, fingerprints, line_dedup, mixing, near_dedup, quality, tokens, toxicity
 
 
 def table(spark, sf_dir, name):
@@ -35,6 +35,10 @@ def op4_decontaminate(spark, sf_dir):
     )
 
 
+def op5_fingerprints(spark, sf_dir):
+    return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = toxicity.score_toxicity(docs, table(spark, sf_dir, "labels"))
@@ -55,6 +59,7 @@ QUERIES = {
     "op2_near_dedup": op2_near_dedup,
     "op3_quality": op3_quality,
     "op4_decontaminate": op4_decontaminate,
+    "op5_fingerprints": op5_fingerprints,
     "op7_toxicity": op7_toxicity,
     "op9_line_dedup": op9_line_dedup,
     "op10_mixing": op10_mixing,
