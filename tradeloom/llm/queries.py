@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tradeloom.llm import decontaminate, fingerprints, line_dedup, mixing, near_dedup, quality, tokens, toxicity
+from tradeloom.llm import decontaminate, fingerprints, html_text, line_dedup, mixing, near_dedup, quality, tokens, toxicity
 
 
 def table(spark, sf_dir, name):
@@ -39,6 +39,11 @@ def op5_fingerprints(spark, sf_dir):
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_html_text(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract_text(pages).select("page_id", "url", "text", "n_chars")
+
+
 def op7_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = toxicity.score_toxicity(docs, table(spark, sf_dir, "labels"))
@@ -60,6 +65,7 @@ QUERIES = {
     "op3_quality": op3_quality,
     "op4_decontaminate": op4_decontaminate,
     "op5_fingerprints": op5_fingerprints,
+    "op6_html_text": op6_html_text,
     "op7_toxicity": op7_toxicity,
     "op9_line_dedup": op9_line_dedup,
     "op10_mixing": op10_mixing,
