@@ -33,6 +33,7 @@ LABELLED = """
  10 0.95  60 0.00  12 0.90 1 0 0 0 0
   4 1.00  30 0.00   4 1.00 1 0 0 0 0
   3 1.00   4 1.00   3 1.00 1 0 0 0 0
+  2 1.00  30 0.00  40 0.00 1 0 0 0 0
   9 0.00  70 0.00  60 0.00 1 0 1 0 0
  40 0.00  70 0.00  60 0.00 1 0 1 0 0
  15 0.00   5 0.00  20 0.00 1 0 1 0 0
@@ -212,6 +213,8 @@ def labelled_blocks():
             if words >= 15:
                 rows.append([words, 0.0, before, 0.0, after, 0.0, 0, 0, 0, 0, 1])
                 rows.append([words, 0.9, before, 0.5, after, 0.5, 0, 0, 0, 0, 0])
+            else:
+                rows.append([words, 0.0, before, 0.0, after, 0.0, 0, 0, 0, 0, int(min(before, after) >= 20)])
         for words in (2, 6, 15, 40):
             for article in (0, 1):
                 for tag, name in ((1, 0), (0, 1), (1, 1)):
