@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tradeloom.llm import decontaminate, fingerprints, html_text, line_dedup, mixing, near_dedup, quality, tokens, toxicity
 
 
@@ -69,6 +70,7 @@ QUERIES = {
     "op7_toxicity": op7_toxicity,
     "op9_line_dedup": op9_line_dedup,
     "op10_mixing": op10_mixing,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLE_SQL = {
     "op4_decontaminate": decontaminate.ORACLE_SQL,
