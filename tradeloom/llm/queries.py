@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tradeloom.llm import decontaminate, fingerprints, html_text, line_dedup, mixing, near_dedup, quality, tokens, toxicity
+from tradeloom.llm import decontaminate, fingerprints, html_text, line_dedup, mixing, near_dedup, quality, suffix_dedup, tokens, toxicity
 
 
 def table(spark, sf_dir, name):
@@ -51,6 +51,10 @@ def op7_toxicity(spark, sf_dir):
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
+def op8_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op9_line_dedup(spark, sf_dir):
     done = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return done.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
@@ -68,6 +72,7 @@ QUERIES = {
     "op5_fingerprints": op5_fingerprints,
     "op6_html_text": op6_html_text,
     "op7_toxicity": op7_toxicity,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_line_dedup": op9_line_dedup,
     "op10_mixing": op10_mixing,
     "pipeline": corpus_pipeline.run,
