@@ -1,3 +1,4 @@
+from pyspark.sql import functions as F
 from decimal import Decimal
 
 import pytest
@@ -121,3 +122,36 @@ def test_dedupe_keeps_last_of_many_copies(spark):
 def test_ordinary_plan_has_one_exchange_on_account(spark, edge_raw):
     plan = trade_features(split_ledger(edge_raw, "row_idx"))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(account_nr") == 1
+
+
+def test_null_keys_give_equal_rows_on_every_path(spark, skewed_rows):
+    """A NULL ticket, opening time or account loses no row, whatever counts as hot."""
+    rows = [dict(r) for r in skewed_rows[:200]]
+    by_account = {}
+    for r in rows:
+        by_account.setdefault(r["account_nr"], []).append(r)
+    for own in by_account.values():
+        own[0]["ticket"] = None
+        if len(own) > 2:
+            own[1]["open_datetime"] = own[1]["open_date_key"] = None
+    rows.append(dict(rows[-1], account_nr=None, ticket=77))
+    frame = trade_frame(spark, rows)
+    results = [
+        sorted(map(repr, trade_features(split_ledger(frame, hot_rows=hot)).select(*COMPARED).collect())) for hot in (10_000, 20, 0)
+    ]
+    assert len(results[0]) == len(rows) and results[0] == results[1] == results[2]
+
+
+COMPARED = ["account_nr", "ticket", "open_datetime", "cumulative_profit", "balance", "initial_balance", "three_consecutive_losses"]
+
+
+def test_last_day_ends_calendar_and_report(spark, edge_raw):
+    from tradeloom.plans.cubes import daily_main
+    from tradeloom.plans.kpi import kpi_report
+
+    cleaned = cleaned_features(split_ledger(edge_raw, "row_idx"))
+    for last_day, accounts in (("2023-12-31", 0), ("2024-01-01", 1), ("2024-01-02", 2), ("2024-01-09", 2)):
+        days = daily_main(cleaned, last_day).select("account_nr", F.col("calendar_day").cast("string")).collect()
+        assert {d for _, d in days} <= {f"2024-01-{k:02d}" for k in range(1, int(last_day[-2:]) + 1)}
+        assert len({a for a, _ in days}) == accounts
+        assert kpi_report(cleaned, last_day).count() == accounts

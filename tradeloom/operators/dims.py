@@ -17,8 +17,8 @@ def dim_account(accounts):
 
 
 def calendar_days(bounds, name="calendar_day"):
-    """One row per day of a one-row frame with columns `first_day` and `last_day`."""
-    return bounds.select(F.explode(F.sequence("first_day", "last_day", F.expr("interval 1 day"))).alias(name))
+    """One row per day of a one-row frame with columns `first_day` and `last_day`; none if the last precedes the first."""
+    return bounds.filter("first_day <= last_day").select(F.explode(F.sequence("first_day", "last_day", F.expr("interval 1 day"))).alias(name))
 
 
 def trade_day_bounds(trades, last_day=None):

@@ -11,6 +11,7 @@ from tradeloom.functions.columns import flag, seconds_between, time_of_day
 from tradeloom.operators.skew import (
     Ledger,
     bucket_prefix,
+    join_buckets,
     running_max,
     running_sum,
     split_ledger,
@@ -94,25 +95,27 @@ def _hot(rows):
             "bal": ("sum", balance_change()),
             "kept": ("max", F.col("__kept")),
         },
+        nulls_first=True,
     )
     # Position of the last row that is not a loss, counted over the whole account.
     prefix = prefix.withColumn("rows_before", F.coalesce(running_sum("rows", 2, False), F.lit(0)))
     kept = bucket_prefix(
-        prefix, "account_nr", levels, {"pos": ("max", F.col("rows_before") + F.col("kept_own_2"))}
+        prefix, "account_nr", levels, {"pos": ("max", F.col("rows_before") + F.col("kept_own_2"))}, nulls_first=True
     ).select(*bucket, F.coalesce(running_max("pos", 2), F.lit(0)).alias("kept_before"))
-    prefix = prefix.select(
+    prefix = join_buckets(prefix, kept, bucket).select(
         *bucket,
+        "kept_before",
         "rows_before",
         F.col("rows_before_2").isNull().alias("first_range"),
         running_sum("net", 1, True).cast(TOTAL).alias("cumulative_profit"),
         running_sum("bal", 1, True).cast(TOTAL).alias("balance"),
         running_sum("bal", 1, False).cast(TOTAL).alias("balance_before"),
-    ).join(kept, bucket)
+    )
 
     # NULL arguments of greatest are skipped.
     kept_position = F.greatest(F.col("kept_before"), F.col("rows_before") + F.col("__kept"))
     return (
-        rows.join(prefix, bucket)
+        join_buckets(rows, prefix, bucket)
         .withColumn(
             "initial_balance",
             F.when(F.col("first_range") & (F.col("__rn") == 1), F.col("balance_before")).otherwise(F.col("balance")),

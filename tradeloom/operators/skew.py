@@ -100,17 +100,24 @@ def renamed(df, columns, prefix):
     return df.withColumnsRenamed({c: prefix + c for c in columns})
 
 
-def bucket_prefix(rows, key, levels, measures):
+def join_buckets(rows, totals, columns):
+    """Inner join on bucket columns, NULL matching NULL; `totals` has one row per bucket."""
+    return rows.join(renamed(totals, columns, "__t_"), same_bucket(columns, "__t_")).drop(*[f"__t_{c}" for c in columns])
+
+
+def bucket_prefix(rows, key, levels, measures, nulls_first=False):
     """Totals of each finest bucket and running totals of everything before it.
 
     levels:   column lists from coarse to fine; together they order the rows of a key.
     measures: name -> ("sum" | "max", column expression).
+    nulls_first: where NULL level values stand in that order.
     Returns one row per (key, all level columns) with, per measure and level depth d,
     `<name>_before_<d>` (within the enclosing bucket, up to but not including this one)
     and `<name>_own_<d>`. Aggregation runs bottom up with partial aggregation; each
     window sees only the children of one bucket.
     """
     function = {"sum": F.sum, "max": F.max}
+    ordered = lambda c: F.col(c).asc_nulls_first() if nulls_first else F.col(c).asc_nulls_last()
     paths = [[key] + [c for level in levels[: d + 1] for c in level] for d in range(len(levels))]
 
     totals = rows.groupBy(*paths[-1]).agg(
@@ -128,7 +135,7 @@ def bucket_prefix(rows, key, levels, measures):
         parent = paths[d - 1] if d else [key]
         before = (
             Window.partitionBy(*parent)
-            .orderBy(*[F.col(c).asc_nulls_last() for c in levels[d]])
+            .orderBy(*[ordered(c) for c in levels[d]])
             .rowsBetween(Window.unboundedPreceding, -1)
         )
         frame = frame.withColumns(

@@ -98,6 +98,8 @@ def _days(cells, last_day):
     wanted = {w: [f"{w}s_opened"] + [t.format(w) for t in SUMMED_PER_SIDE] for w in SIDES}
     sides = {w: [m for m in side_measures(w) if m.name in wanted[w]] for w in SIDES}
     days = _day_of_symbols(cells, summary, sides)
+    if last_day is not None:
+        days = days.filter(F.col("day") <= F.lit(last_day).cast("date"))
 
     # The first empty day after a trading day stands for the whole gap among the extremes.
     following = F.lead("day").over(Window.partitionBy("account_nr").orderBy("day"))

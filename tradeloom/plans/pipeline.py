@@ -4,6 +4,7 @@ Every stage writes a table in the shared folder and the next one reads it, so a
 executor costs one stage at most.
 """
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tradeloom.functions.frames import distinct_rows
@@ -15,6 +16,7 @@ from tradeloom.plans.cubes import daily_main, daily_side, daily_summary
 from tradeloom.plans.gold import export_gold, gold_views
 from tradeloom.plans.kpi import kpi_report
 from tradeloom.schemas import ACCOUNT_COLUMNS, ACCOUNT_FILE_NAMES, TRADE_COLUMNS
+from tradeloom.session import stored
 from tradeloom.sources.files import append_table, publish
 from tradeloom.sources.statements import statement_accounts, statement_trades
 
@@ -29,26 +31,48 @@ def account_table(grid):
     return distinct_rows(statement_accounts(grid).drop("file").withColumnsRenamed(names).select(*ACCOUNT_COLUMNS))
 
 
-def load_staging(fresh, path, columns, exists):
-    """Append the rows the table lacks; returns the rows it holds that the source dropped."""
+def existing_table(spark, schema, path):
+    """The table at `path`, or None before its first load."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def load_staging(fresh, path, columns):
+    """Append the rows the table lacks; returns the rows it holds that the source dropped.
+
+    The target itself tells whether it was loaded before, so equal loads give equal tables.
+    """
     spark = fresh.sparkSession
-    if not exists:
+    target = existing_table(spark, fresh.schema, path)
+    if target is None:
         append_table(fresh, path)
         return spark.createDataFrame([], fresh.schema)
-    target = spark.read.schema(fresh.schema).parquet(path)
+    # Held apart before the append: a scan must not see the files the append adds.
+    target = stored(target, "staging-before")
     append_table(delta_append(fresh, target, columns), path)
     return delta_stale(fresh, target, columns)
 
 
-def run_warehouse(grid, root, last_day=None, loaded_before=False):
-    """Grids to staging tables, trade features and exported gold views."""
+def run_warehouse(grid, root, last_day=None):
+    """Grids to staging tables, trade features and exported gold views.
+
+    Rows that a later source no longer holds are published as `stale_trades`. Those whose trade
+    came again in another form are superseded and leave the features; vanished trades stay.
+    """
     spark = grid.sparkSession
     trades = publish(distinct_rows(statement_trades(grid)), root, "cleaned_trades")
     accounts = publish(account_table(grid), root, "cleaned_accounts")
-    load_staging(accounts, f"{root}/staging/dim_account", ACCOUNT_COLUMNS, loaded_before)
-    load_staging(trades, f"{root}/staging/trade_history", TRADE_COLUMNS, loaded_before)
+    load_staging(accounts, f"{root}/staging/dim_account", ACCOUNT_COLUMNS)
+    stale = load_staging(trades, f"{root}/staging/trade_history", TRADE_COLUMNS)
+    stale = publish(stale.select(*trades.columns), root, "stale_trades")
     staged = spark.read.schema(trades.schema).parquet(f"{root}/staging/trade_history")
     staged_accounts = spark.read.schema(accounts.schema).parquet(f"{root}/staging/dim_account")
+    superseded = stale.join(trades.select("account_nr", "ticket").distinct(), ["account_nr", "ticket"], "left_semi")
+    staged = staged.exceptAll(superseded.select(*staged.columns))
     features = publish(trade_features(staged), root, "trade_features")
     views = gold_views(features, staged_accounts, trade_day_bounds(staged, _end(last_day)), register=True)
     return export_gold(views, f"{root}/export")
