@@ -35,23 +35,27 @@ def components(edges):
         seen = state
 
 
-def bucket_components(members, verify, rounds=2, across=None):
+def bucket_components(buckets, nodes, verify, rounds=2, across=None):
     """(node, root) for the nodes that verified links connect.
 
-    members: (bucket, node, plus columns that `verify` wants as a and b structs).
+    buckets: (bucket, node), every pair once.
+    nodes:   (node, plus columns that `verify` wants as a and b structs), every node once.
     verify:  takes pairs (a struct, b struct, a.node > b.node), returns those that are links.
     across:  for the last step: takes the rows (bucket, member, group) of the buckets that still
              hold different groups, returns links (a, b) between groups; by default all pairs
              of members of different groups are verified.
     """
-    rest = [c for c in members.columns if c not in ("bucket", "node")]
-    members = members.select("bucket", F.struct("node", *rest).alias("member")).distinct()
-    counts = members.groupBy("bucket").agg(F.min("member.node").alias("low"), F.max("member.node").alias("high"))
-    split = counts.filter("low < high").select("bucket")
-    shared = members.withColumn("group", F.col("member.node"))
+    several = buckets.groupBy("bucket").count().filter("count > 1").select("bucket")
+    shared = stored(buckets.join(several, "bucket", "left_semi"), "shared-buckets")
+    # Only nodes that share a bucket carry their columns along.
+    member = F.struct("node", *[c for c in nodes.columns if c != "node"])
+    shared = stored(
+        shared.join(nodes, "node").select("bucket", member.alias("member"), F.col("node").alias("group")), "split-buckets"
+    )
     edges, tested = None, None
     for turn in range(rounds + 1):
-        shared = stored(shared.join(split, "bucket", "left_semi"), "split-buckets")
+        if turn:
+            shared = stored(shared.join(split, "bucket", "left_semi"), "split-buckets")
         if turn == rounds and across:
             links = across(shared)
         else:

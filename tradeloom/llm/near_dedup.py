@@ -130,7 +130,9 @@ def near_duplicates(docs, id="doc_id", text="text", percent=PERCENT):
     nodes = signatures.filter("n > 0 and id is not null").join(
         classes.withColumnRenamed("node", "id"), [*same, "id"], "left_semi"
     )
-    members = nodes.select(F.col("id").alias("node"), "n", F.explode("bands").alias("bucket"))
+    # Rows that repeat an id come once; of an id with several texts the largest set's size counts.
+    buckets = nodes.dropDuplicates(["id", *same]).select(F.explode("bands").alias("bucket"), F.col("id").alias("node"))
+    repeated = classes.groupBy("node").agg(F.max("n").alias("n"), F.min("n").alias("low"))
 
     def sets_of(wanted):
         wanted = stored(wanted.select(F.col("node").alias("id")).distinct(), "compared")
@@ -157,7 +159,7 @@ def near_duplicates(docs, id="doc_id", text="text", percent=PERCENT):
         return placed.join(sets, "node").groupBy("area", "i", "j").applyInArrow(_block_links(percent), "a long, b long")
 
     def verify(pairs):
-        close = pairs.filter(f"100 * least(a.n, b.n) >= {percent} * greatest(a.n, b.n)")
+        close = pairs.filter(f"100 * least(a.n, b.n) >= {percent} * greatest(a.low, b.low)")
         close = stored(close, "close-pairs")
         sets = stored(sets_of(close.select("a.node").unionAll(close.select("b.node"))), "sets")
         one, two = (sets.select(F.col("id").alias(f"id_{x}"), F.col("elements").alias(f"set_{x}")) for x in "ab")
@@ -166,7 +168,7 @@ def near_duplicates(docs, id="doc_id", text="text", percent=PERCENT):
         union = F.size("set_a") + F.size("set_b") - common
         return both.filter(100 * common >= percent * union).select("a", "b")
 
-    roots = bucket_components(members, verify, across=across)
+    roots = bucket_components(buckets, repeated, verify, across=across)
     labels = classes.join(roots, "node", "left").select(*same, F.coalesce("root", "node").alias("component"))
     result = signatures.select("id", *same).join(labels, same, "left")
     own = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
