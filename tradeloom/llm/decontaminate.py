@@ -4,8 +4,8 @@ Every window of `WINDOW` words is represented by the least hash of the `GRAM`-wo
 it (its fingerprint), so two texts that share a window share its fingerprint. Documents keep
 one fingerprint per run of windows that agree on it and are joined with the benchmark's; only
 documents that meet one are looked at again, where the windows behind the fingerprints are
-compared word by word and overlapping hits extend each other. Neither join is a broadcast by
-hint: Spark broadcasts the benchmark's side where its size allows and shuffles otherwise.
+compared word by word and overlapping hits extend each other. The keys of touched documents
+are broadcast up to a counted size; else Spark broadcasts the benchmark's side where its size allows and shuffles otherwise.
 """
 
 import string
@@ -13,6 +13,7 @@ import string
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tradeloom.llm.linking import counted_small
 from tradeloom.session import stored
 
 # All but a-z, 0-9 and what is not ASCII; the commonest range first, as matching tries them in turn.
@@ -96,7 +97,7 @@ def mark_contaminated(docs, benchmark, id="doc_id", text="text", item_id="item_i
             .select(*KEY)
             .distinct()
         )
-        suspects = narrow.join(stored(touched, "touched"), KEY, "left_semi")
+        suspects = narrow.join(counted_small(stored(touched, "touched")), KEY, "left_semi")
         hits = (
             windows(with_words(suspects, "text"), size, gram)
             .join(prints, "fingerprint", "left_semi")

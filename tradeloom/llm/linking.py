@@ -12,6 +12,14 @@ from pyspark.sql import functions as F
 from tradeloom.session import stored
 
 
+BROADCAST_ROWS = 1_000_000
+
+
+def counted_small(ids):
+    """A written table of keys, marked for broadcast if its count is small; else Spark shuffles."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+
+
 def components(edges):
     """Smallest node reachable for each node of `edges` (a, b), as (node, root).
 

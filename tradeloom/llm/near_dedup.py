@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tradeloom.llm import textbatch as tb
-from tradeloom.llm.linking import bucket_components, components
+from tradeloom.llm.linking import bucket_components, components, counted_small
 from tradeloom.session import stored
 
 WIDTH = 5
@@ -136,7 +136,7 @@ def near_duplicates(docs, id="doc_id", text="text", percent=PERCENT):
 
     def sets_of(wanted):
         wanted = stored(wanted.select(F.col("node").alias("id")).distinct(), "compared")
-        return narrow.join(wanted, "id", "left_semi").mapInArrow(_set_rows, "id long, elements array<long>")
+        return narrow.join(counted_small(wanted), "id", "left_semi").mapInArrow(_set_rows, "id long, elements array<long>")
 
     def across(shared):
         """Links between groups: nodes that buckets connect are compared in blocks of bounded size."""
