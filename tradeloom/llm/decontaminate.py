@@ -1,11 +1,11 @@
 """Benchmark decontamination by winnowing, in DataFrame operations only.
 
 Every window of `WINDOW` words is represented by the least hash of the `GRAM`-word runs inside
-it (its fingerprint), so two texts that share a window share its fingerprint. Documents keep
-one fingerprint per run of windows that agree on it and are joined with the benchmark's; only
-documents that meet one are looked at again, where the windows behind the fingerprints are
-compared word by word and overlapping hits extend each other. The keys of touched documents
-are broadcast up to a counted size; else Spark broadcasts the benchmark's side where its size allows and shuffles otherwise.
+it (its fingerprint), so two texts that share a window share its fingerprint. The distinct
+fingerprints of each document are joined with the benchmark's, a side that Spark broadcasts
+where its size allows and shuffles otherwise. Only documents that meet one are looked at again
+(their keys are broadcast up to a counted size), where the windows behind the fingerprints are
+compared word by word and overlapping hits extend each other.
 """
 
 import string
