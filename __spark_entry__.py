@@ -165,10 +165,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gold_trade_history": lambda s, d: gold.trade_view(_features(s, d)),
         "gold_dim_account_info": lambda s, d: gold.account_view(tables.accounts(s, d)),
         "gold_dim_date": lambda s, d: gold.date_view(_bounds(s, d)),
-        "daily_summary": _on_cleaned(cubes.daily_summary, empty_days="count"),
+        "daily_summary": _on_cleaned(cubes.daily_summary),
         "daily_main": _on_cleaned(cubes.daily_main),
-        "daily_long": _on_cleaned(cubes.daily_side, word="long", empty_days="count"),
-        "daily_short": _on_cleaned(cubes.daily_side, word="short", empty_days="count"),
+        "daily_long": _on_cleaned(cubes.daily_side, word="long"),
+        "daily_short": _on_cleaned(cubes.daily_side, word="short"),
         "joined_cube": _on_cleaned(cubes.joined_cube, empty_days="count"),
         "joined_summaries": _joined_summaries,
         "kpi_report": _on_cleaned(kpi_report),

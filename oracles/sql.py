@@ -278,9 +278,17 @@ DAY_COLUMNS = "d.account_nr, d.day as calendar_day, cast(strftime(d.day, '%Y%m%d
 GAP = "cast(case when row_number() over (partition by d.account_nr, d.day order by r.symbol desc nulls last) = 1 then coalesce(gap, 0) else 0 end as int) as empty_days_after"
 
 
-def on_days(rows, measures):
-    return f"""select {DAY_COLUMNS}, r.symbol, {GAP}, {zero_filled(measures, "r")}
-from days d left join {rows} r on r.account_nr = d.account_nr and r.day = d.day"""
+CALENDAR = """
+calendar as (
+  select account_nr, cast(unnest(generate_series(a, b, interval 1 day)) as date) as day
+  from (select account_nr, min(open_date) as a, max(open_date) as b from cleaned group by 1)
+)"""
+
+
+def on_calendar(rows, measures):
+    """Every day from the account's first to its last, with or without rows."""
+    return f"""select {DAY_COLUMNS}, r.symbol, {zero_filled(measures, "r")}
+from calendar d left join {rows} r on r.account_nr = d.account_nr and r.day = d.day"""
 
 
 JOINED = f"""
@@ -483,10 +491,10 @@ from all_days""",
         "gold_trade_history": history,
         "gold_dim_account_info": accounts,
         "gold_dim_date": dates,
-        "daily_summary": f"{days} {on_days('summary_rows', DAILY_SUMMARY)}",
+        "daily_summary": f"{days},{CALENDAR} {on_calendar('summary_rows', DAILY_SUMMARY)}",
         "daily_main": f"{main} select * from main",
-        "daily_long": f"{sides} {on_days('long_rows', SIDE_MEASURES['long'])}",
-        "daily_short": f"{sides} {on_days('short_rows', SIDE_MEASURES['short'])}",
+        "daily_long": f"{sides},{CALENDAR} {on_calendar('long_rows', SIDE_MEASURES['long'])}",
+        "daily_short": f"{sides},{CALENDAR} {on_calendar('short_rows', SIDE_MEASURES['short'])}",
         "joined_cube": f"{sides},{JOINED} select {joined_select} from joined",
         "joined_summaries": f"{sides},{JOINED} select {joined_select} from joined",
         "kpi_report": f"{sides},{JOINED},{MAIN},{kpi_sql()}",
