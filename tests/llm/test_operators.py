@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import random
 import re
 import zlib
 
@@ -277,6 +278,25 @@ def test_line_dedup_equals_all_pairs(spark, empty):
     assert line_dedup.dedup_lines(empty).count() == 0
 
 
+def test_line_dedup_links_by_edit_similarity_alone(spark):
+    """One line in two documents, the second with edits anywhere; other lines are unlike."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abdeilmnorstu") for _ in range(rng.randint(2, 8)))
+    data, sizes = [], [10, 11, 14, 19, 20, 23, 29, 30, 34, 39, 40, 41, 45, 52, 60, 75, 90, 99, 108, 111, 120, 150, 220, 400]
+    for k, n in enumerate(sizes * 3):
+        line = " ".join(word() for _ in range(n))[:n].rstrip().ljust(n, "x")
+        most = n // 10  # inserted or replaced: the longer line has n characters at least
+        other = list(line)
+        for at in sorted(rng.sample([x for x in range(n) if line[x] != " "], most if n < 60 else most // 2 + 1), reverse=True):
+            other[at : at + 1] = "q" if k % 3 else ["q", other[at]]
+        data += [(2 * k, line), (2 * k + 1, "".join(other))]
+    data += [(1000, "日本語日本語日本語本"), (1001, "日本語日本x日本語本")]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    got = {r.doc_id: r.n_removed for r in line_dedup.dedup_lines(docs).collect()}
+    missed = [(i, len(t)) for i, t in data if got[i] != i % 2]
+    assert not missed
+
+
 def test_mixing_meets_targets(docs, rows, empty):
     got = mixing.mix_sources(docs.withColumn("size", F.lit("clash"))).collect()
     assert len(got) == len(rows)
