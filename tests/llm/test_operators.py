@@ -297,6 +297,13 @@ def test_line_dedup_links_by_edit_similarity_alone(spark):
     assert not missed
 
 
+def test_line_dedup_takes_short_lines(spark):
+    data = [(1, "Menu\nles\n\n日本\n--"), (2, "menu!\nlet\n\n日本\n--\nRead more"), (3, "read more\n7"), (4, "9")]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    got = {r.doc_id: (r.text, r.n_removed) for r in line_dedup.dedup_lines(docs).collect()}
+    assert got == {1: (data[0][1], 0), 2: ("let\n\n--\nRead more", 2), 3: ("7", 1), 4: ("", 1)}
+
+
 def test_mixing_meets_targets(docs, rows, empty):
     got = mixing.mix_sources(docs.withColumn("size", F.lit("clash"))).collect()
     assert len(got) == len(rows)
