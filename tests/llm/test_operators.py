@@ -186,6 +186,28 @@ def test_html(page, text):
     assert html_text.main_text(page, html_text.trained_tree()) == text
 
 
+@pytest.mark.parametrize(
+    "opening, kept",
+    [
+        ('<body class="overflow-x-hidden">', True),
+        ('<div class="overflow-hidden">', True),
+        ('<div class="content has-sidebar">', True),
+        ('<main class="hidden">', True),
+        ('<div class="layout--sidebar" data-state="hidden">', True),
+        ('<div title="a hidden valley">', True),
+        ("<div hidden>", False),
+        ('<div style="display: none">', False),
+        ('<div aria-hidden="true">', False),
+        ('<div class="hidden">', False),
+        ('<div class="page-sidebar">', False),
+    ],
+)
+def test_html_boilerplate_names_are_the_elements_own(opening, kept):
+    story = " ".join(f"word{k}" for k in range(60))
+    page = f"<html>{opening}<p>{story}</p><p>{story}</p>"
+    assert html_text.main_text(page, html_text.trained_tree()) == (f"{story}\n{story}" if kept else "")
+
+
 def test_html_operator_replaces_clashing_columns(spark):
     pages = spark.createDataFrame([(1, "<article><p>a b</p></article>", "old"), (2, None, "old")], "page_id long, html string, text string")
     assert table(html_text.extract_text(pages).select("page_id", "text", "n_chars")) == {(1, "a b", 3): 1, (2, "", 0): 1}

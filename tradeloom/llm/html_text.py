@@ -96,14 +96,35 @@ TOKEN = re.compile(
     rf"(?is)<!--.*?(?:-->|\Z)|<({SKIPPED_TAGS})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-z][a-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|[^<]+|<"
 )
-NAME = re.compile(r"""(?is)\b(?:class|id|role|itemprop)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""")
-HIDDEN = re.compile(r"(?is)display\s*:\s*none|visibility\s*:\s*hidden|\bhidden\b(?!\s*=)|aria-hidden\s*=\s*[\"']?true")
+# A name with one of these words says what an element has or does, not what it is.
+MODIFIERS = set("has have no not with without is are overflow backface show shows hide hides enable enabled disable disabled layout template".split())
+ATTRIBUTE = re.compile(r"""(?s)([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+UNSEEN = re.compile(r"(?i)(?:^|[;\s])(?:display\s*:\s*none|visibility\s*:\s*hidden)")
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 
 
+def _attributes(text):
+    """Attributes by lower-case name; the first of a name counts, quotes are taken off."""
+    out = {}
+    for name, value in ATTRIBUTE.findall(text):
+        out.setdefault(name.lower(), value[1:-1] if value[:1] in ('"', "'") else value)
+    return out
+
+
 def _names(attributes):
-    found = " ".join(x.strip("\"'") for x in NAME.findall(attributes))
-    return set(re.split(r"[^a-z0-9]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", found).lower()))
+    """Words of the names that say what the element is; 'hidden' counts as a whole name only."""
+    out = set()
+    for name in " ".join(attributes.get(x, "") for x in ("class", "id", "role", "itemprop")).split():
+        name = name.split("--")[0]  # what follows is a modifier
+        words = set(re.split(r"[^a-z0-9]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower()))
+        if ":" not in name and not words & MODIFIERS:
+            out |= words if name.lower() == "hidden" else words - {"hidden"}
+    return out
+
+
+def _hidden(attributes):
+    aria = attributes.get("aria-hidden", "").strip().lower() == "true"
+    return "hidden" in attributes or aria or bool(UNSEEN.search(attributes.get("style", "")))
 
 
 def blocks(page):
@@ -145,8 +166,8 @@ def blocks(page):
             if tag == "p" or tag in VOID or tag in HEADINGS or attributes.rstrip().endswith("/"):
                 if tag == "p" and not closing:
                     stack[:] = [x for x in stack if x[0] != "p"]
-                    names = _names(attributes)
-                    if names & BOILER_NAMES or HIDDEN.search(attributes):
+                    given = _attributes(attributes)
+                    if _names(given) & BOILER_NAMES or _hidden(given):
                         stack.append(("p", False, False, True))
                 elif tag == "p":
                     stack[:] = [x for x in stack if x[0] != "p"]
@@ -157,12 +178,13 @@ def blocks(page):
                 if at is not None:
                     del stack[at:]
                 continue
-            names = _names(attributes)
+            given = _attributes(attributes)
+            names = _names(given)
             inside = any(x[1] for x in stack)
             main = tag in ("article", "main") or bool(names & MAIN_NAMES and not names & BOILER_NAMES)
             boiler = tag in BOILER_TAGS or (tag == "header" and not inside)
             named = bool(names & (BOILER_NAMES if inside else BOILER_NAMES | {"header"})) and tag not in ("html", "body", "article", "main")
-            stack.append((tag, main, boiler, named or bool(HIDDEN.search(attributes))))
+            stack.append((tag, main, boiler, named or _hidden(given)))
     flush()
     return out
 
