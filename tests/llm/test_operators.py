@@ -172,6 +172,20 @@ def test_span_hashes_and_common_extension():
     assert 0.4 < fingerprints.likeness(f("ab" * 300), f("ab" * 150 + "c" * 300)) <= 0.5
 
 
+def test_likeness_sees_past_edits_at_both_ends_and_in_the_middle():
+    rng = random.Random(8)
+    f, likeness = fingerprints.fingerprint, fingerprints.likeness
+    for n in (1000, 4095, 10_000, 16_500):
+        text = "".join(rng.choice("abcdefgh ") for _ in range(n))
+        own = f(text)
+        assert likeness(own, f("X" + text[1:-1] + "X")) > 0.8
+        assert likeness(own, f("X" + text + "X")) > 0.8
+        assert likeness(own, f(text[: n // 10] + "changed" + text[n // 10 + 4 : 9 * n // 10] + "word" + text[9 * n // 10 :])) > 0.75
+        assert likeness(own, f("X" + text[1 : n // 2] + text[n // 2 + 1 : -1] + "X")) > 0.7
+        assert likeness(own, f("".join(rng.choice("abcdefgh ") for _ in range(n)))) < 0.1
+    assert len(f("x" * 30_000)) < 6000
+
+
 @pytest.mark.parametrize(
     "page, text",
     [

@@ -5,6 +5,9 @@ modulo two primes. Two lookups give the hash of any span, so spans of different
 compared without reading them and the longest common extension of two positions is found by
 binary search. A fingerprint is the hash of the whole text and a grid of prefix and suffix
 hashes; the common beginning and end of two texts are located in the grids by binary search.
+It also has prefix hashes at cuts that follow from the content, so that equal spans are found
+behind an edit and aligned in order. `common_extension` needs both prefix arrays and serves
+texts at hand; `likeness` works on fingerprints alone and rounds edits up to whole spans.
 """
 
 import hashlib
@@ -15,9 +18,12 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tradeloom.llm import textbatch as tb
+
 PRIMES = (2147483629, 2147483587)  # primes below 2**31
 BASES = (1000003, 1299721)
 GRID = 32
+WINDOW = 8  # characters before a cut that decide on it
 
 
 @cache
@@ -37,7 +43,7 @@ class Prefixes:
     """Prefix hashes of one text: entry i is the hash of its first i characters."""
 
     def __init__(self, text):
-        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1)
+        self.codes = codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1)
         self.n = len(codes)
         size = 1 << max(12, self.n.bit_length())
         self.powers = _powers(size)
@@ -76,17 +82,68 @@ def step_of(n):
     return step
 
 
+def level_of(n):
+    """Binary logarithm of the mean span: about 32 to 64 spans, of 8 characters at least."""
+    return max(3, step_of(n).bit_length() - 2)
+
+
+def cuts(p):
+    """(place, level) of the cuts of a text; those of a higher level are fewer."""
+    if p.n < WINDOW:
+        return []
+    least = level_of(p.n)
+    starts = np.arange(p.n - WINDOW + 1)
+    found = tb.span_hashes(tb.mix(p.codes), starts, starts + WINDOW)
+    at = np.flatnonzero(found & np.uint64((1 << least) - 1) == 0)
+    out, gap = [], 1 << (least - 2)  # a periodic text has no more than four times as many
+    for place, value in zip((at + WINDOW).tolist(), found[at].tolist()):
+        if place < p.n and (not out or place - out[-1][0] >= gap):
+            out.append((place, min(15, (value & -value).bit_length() - 1) if value else 15))
+    return out
+
+
 def fingerprint(text):
-    """'length-hash-prefixes-suffixes' in hexadecimal; equal texts have equal fingerprints.
+    """'length-hash-prefixes-suffixes-cuts' in hexadecimal; equal texts have equal fingerprints.
 
     The prefix part has the hashes of the beginnings of step, 2 * step, ... characters, the
-    suffix part those of the ends; step follows from the length.
+    suffix part those of the ends; step follows from the length. A cut is its place, its level
+    and the hash of the beginning up to it (8, 1 and 8 digits).
     """
     p = Prefixes(text)
     lengths = np.arange(step_of(p.n), p.n + 1, step_of(p.n))
     first = p.sums[0, lengths] if len(lengths) else lengths
     last = [p.span(p.n - int(x), p.n) % PRIMES[1] for x in lengths]
-    return "-".join([f"{p.n:x}", f"{p.span(0, p.n):016x}", "".join(f"{int(x):08x}" for x in first), "".join(f"{x:08x}" for x in last)])
+    inner = [f"{x:08x}{level:x}{int(p.sums[0, x]):08x}" for x, level in cuts(p)]
+    return "-".join(
+        [f"{p.n:x}", f"{p.span(0, p.n):016x}", "".join(f"{int(x):08x}" for x in first), "".join(f"{x:08x}" for x in last), "".join(inner)]
+    )
+
+
+@cache
+def _inverse():
+    return pow(BASES[0], -1, PRIMES[0])
+
+
+def _spans(n, whole, part, level):
+    """(length, hash) of the spans between the cuts of `level` or more, in order."""
+    edges = [(0, 0)]
+    for k in range(0, len(part), 17):
+        if int(part[k + 8], 16) >= level:
+            edges.append((int(part[k : k + 8], 16), int(part[k + 9 : k + 17], 16)))
+    edges.append((n, int(whole, 16) >> 31))
+    return [(y - x, (v - u) * pow(_inverse(), x, PRIMES[0]) % PRIMES[0]) for (x, u), (y, v) in zip(edges, edges[1:])]
+
+
+def _aligned(a, b):
+    """Most characters in equal spans that have the same order in both lists."""
+    both = set(a) & set(b)
+    a, b = [x for x in a if x in both], [x for x in b if x in both]
+    best = [0] * (len(b) + 1)
+    for x in a:
+        before = 0
+        for k, y in enumerate(b, 1):
+            before, best[k] = best[k], before + x[0] if x == y else max(best[k], best[k - 1])
+    return best[-1]
 
 
 def _grid(part, step):
@@ -106,14 +163,15 @@ def _common(a, b, lengths):
 
 
 def likeness(one, other):
-    """Common beginning and end of two fingerprinted texts as a share of the longer, 0 to 1.
+    """Characters two fingerprinted texts have in common, in order, as a share of the longer, 0 to 1.
 
-    1 for equal fingerprints (two empty texts too). The grid rounds common parts down to
-    multiples of the wider step.
+    1 for equal fingerprints (two empty texts too). Common beginning, end and equal spans between
+    them count. The grid rounds beginning and end down to multiples of the wider step, and a
+    span with an edit does not count.
     """
     if one == other:
         return 1.0
-    (n, _, a_first, a_last), (m, _, b_first, b_last) = one.split("-"), other.split("-")
+    (n, a_all, a_first, a_last, a_cuts), (m, b_all, b_first, b_last, b_cuts) = one.split("-"), other.split("-")
     n, m = int(n, 16), int(m, 16)
     if not min(n, m):
         return 0.0
@@ -121,7 +179,17 @@ def likeness(one, other):
     lengths = list(range(wide, min(n, m) + 1, wide))
     begin = _common(_grid(a_first, step_of(n)), _grid(b_first, step_of(m)), lengths)
     end = _common(_grid(a_last, step_of(n)), _grid(b_last, step_of(m)), lengths)
-    return min(begin + end, min(n, m)) / max(n, m)
+    level = max(level_of(n), level_of(m))
+    a, b = _spans(n, a_all, a_cuts, level), _spans(m, b_all, b_cuts, level)
+    front = 0
+    while front < min(len(a), len(b)) and a[front] == b[front]:
+        front += 1
+    back = 0
+    while back < min(len(a), len(b)) - front and a[-1 - back] == b[-1 - back]:
+        back += 1
+    middle = _aligned(a[front : len(a) - back], b[front : len(b) - back])
+    begin, end = max(begin, sum(x[0] for x in a[:front])), max(end, sum(x[0] for x in a[len(a) - back :]))
+    return min(begin + end + middle, min(n, m)) / max(n, m)
 
 
 def edited(text, following):
