@@ -99,6 +99,13 @@ def test_blocks_find_links_that_centres_miss(spark):
     assert roots == {2: 1, 3: 1, 4: 1, 9: 8}
 
 
+def test_broadcast_counts_the_elements_of_lists(spark):
+    plan = lambda df: spark.range(9).join(df, "id")._jdf.queryExecution().logical().toString()
+    one = spark.range(1)
+    assert "broadcast" in plan(linking.counted_small(one, spark.range(5)))
+    assert "broadcast" not in plan(linking.counted_small(one, spark.range(linking.BROADCAST_ROWS + 1)))
+
+
 def test_quality_separates_junk(spark, empty):
     clean = [(k, " ".join(f"wort{(k * 7 + j * j) % 91}" for j in range(60)).replace("1", "a")) for k in range(60)]
     junk = [(100 + k, "BUY!!! NOW!!! " * 40) for k in range(10)] + [(200, ""), (201, None)]

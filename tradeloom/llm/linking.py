@@ -15,9 +15,12 @@ from tradeloom.session import stored
 BROADCAST_ROWS = 1_000_000
 
 
-def counted_small(ids):
-    """A written table of keys, marked for broadcast if its count is small; else Spark shuffles."""
-    return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+def counted_small(ids, items=None):
+    """A written table of keys, marked for broadcast if its count is small; else Spark shuffles.
+
+    items: a written table with a row for each element, where rows of `ids` hold lists.
+    """
+    return F.broadcast(ids) if (ids if items is None else items).count() <= BROADCAST_ROWS else ids
 
 
 def components(edges):
