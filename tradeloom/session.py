@@ -1,5 +1,6 @@
 """Session defaults and the shared scratch folder."""
 
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -37,11 +38,18 @@ def build_session(app_name="tradeloom", master=None, input_bytes=None, **conf):
 def shared_folder(spark):
     """The folder that driver and executors share, as the cluster names it in spark.checkpoint.dir.
 
-    A session without that setting uses its warehouse, which Spark itself shares. The caller's
-    session is left as it is.
+    A session without that setting uses its warehouse. On a cluster that must be a shared store too:
+    a warehouse on local disks would scatter stored tables over the executors, so that is an error.
+    The caller's session is left as it is.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    if folder:
+        return folder
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    master = spark.conf.get("spark.master", "local")
+    if not re.match(r"local(\[|$)", master) and re.match(r"(file:)?/", warehouse):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share; {warehouse} is local")
+    return f"{warehouse}/_scratch"
 
 
 def scratch_path(spark, name):
@@ -50,7 +58,17 @@ def scratch_path(spark, name):
 
 
 def stored(df, name):
-    """Write a frame below the shared folder and read it back, which cuts its lineage."""
+    """Write a frame below the shared folder and read it back, which cuts its lineage; see `discard`."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*frames):
+    """Remove the files of frames that `stored` made, after their last reader has run."""
+    for df in frames:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
