@@ -3,7 +3,9 @@
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tradeloom.llm import decontaminate, fingerprints, html_text, line_dedup, mixing, near_dedup, quality, suffix_dedup, tokens, toxicity
+from tradeloom.llm import (
+    decontaminate, fingerprints, html_text, line_dedup, merkle, mixing, near_dedup, quality, suffix_dedup, tokens, toxicity,
+)
 
 
 def table(spark, sf_dir, name):
@@ -64,6 +66,11 @@ def op10_mixing(spark, sf_dir):
     return mixing.mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op13_merkle(spark, sf_dir):
+    listed = merkle.manifest(table(spark, sf_dir, "documents"))
+    return listed.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_near_dedup": op2_near_dedup,
@@ -75,9 +82,11 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_line_dedup": op9_line_dedup,
     "op10_mixing": op10_mixing,
+    "op13_merkle": op13_merkle,
     "pipeline": corpus_pipeline.run,
 }
 ORACLE_SQL = {
     "op4_decontaminate": decontaminate.ORACLE_SQL,
     "op10_mixing": mixing.ORACLE_SQL,
+    "op13_merkle": merkle.ORACLE_SQL,
 }
