@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tradeloom.llm import (
-    decontaminate, fingerprints, html_text, line_dedup, merkle, mixing, near_dedup, quality, suffix_dedup, tokens, toxicity,
+    centroids, decontaminate, fingerprints, html_text, line_dedup, merkle, mixing, near_dedup, quality, suffix_dedup, tokens, topk,
+    toxicity,
 )
 
 
@@ -66,6 +67,14 @@ def op10_mixing(spark, sf_dir):
     return mixing.mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_top_k(spark, sf_dir):
+    return topk.exact_top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op12_centroids(spark, sf_dir):
+    return centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op13_merkle(spark, sf_dir):
     listed = merkle.manifest(table(spark, sf_dir, "documents"))
     return listed.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
@@ -82,11 +91,15 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_line_dedup": op9_line_dedup,
     "op10_mixing": op10_mixing,
+    "op11_top_k": op11_top_k,
+    "op12_centroids": op12_centroids,
     "op13_merkle": op13_merkle,
     "pipeline": corpus_pipeline.run,
 }
 ORACLE_SQL = {
     "op4_decontaminate": decontaminate.ORACLE_SQL,
     "op10_mixing": mixing.ORACLE_SQL,
+    "op11_top_k": topk.ORACLE_SQL,
+    "op12_centroids": centroids.ORACLE_SQL,
     "op13_merkle": merkle.ORACLE_SQL,
 }
