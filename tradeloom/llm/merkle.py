@@ -144,12 +144,11 @@ def manifest(docs):
     high = stored(subroots.select(F.lit(0).alias("group"), "at", "size", F.col("group").alias("source"), "node"), "sources")
     discard(*made)
     high_levels = tree(high)
-    root = tops(high_levels).select(F.col("node").alias("root"))
+    root = tops(high_levels).first()  # one node, or none for an empty table
 
     over, used = paths(high_levels, None, keep=("source", "node"))
-    # One row is the root of all; it joins by a constant key.
-    over = over.withColumn("one", F.lit(1)).join(F.broadcast(root.withColumn("one", F.lit(1))), "one")
-    ends = stored(over.select(F.col("source").alias("end"), "path", F.col("node").alias("subroot"), "root"), "ends")
+    root = F.lit(root.node if root else None).cast("string").alias("root")
+    ends = stored(over.select(F.col("source").alias("end"), "path", F.col("node").alias("subroot"), root), "ends")
     discard(*used, *high_levels)
 
     done, _ = paths(low_levels, ends, keep=("doc_id", "node", "now"))
