@@ -59,9 +59,7 @@ def _gold(spark, d):
 def _joined_summaries(spark, d):
     """The N-way left join of the three daily tables themselves."""
     cleaned = _cleaned(spark, d)
-    summary = cubes.daily_summary(cleaned, empty_days="count")
-    sides = [cubes.daily_side(cleaned, w, empty_days="count").drop("empty_days_after") for w in ("long", "short")]
-    return cubes.join_summaries(summary, *sides)
+    return cubes.join_summaries(cubes.daily_summary(cleaned), *(cubes.daily_side(cleaned, w) for w in ("long", "short")))
 
 
 def _html_statement_rows(spark, d):
@@ -169,7 +167,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "daily_main": _on_cleaned(cubes.daily_main),
         "daily_long": _on_cleaned(cubes.daily_side, word="long"),
         "daily_short": _on_cleaned(cubes.daily_side, word="short"),
-        "joined_cube": _on_cleaned(cubes.joined_cube, empty_days="count"),
+        "joined_cube": _on_cleaned(cubes.joined_cube),
         "joined_summaries": _joined_summaries,
         "kpi_report": _on_cleaned(kpi_report),
         "profit_curve": _on_cleaned(reports.profit_curve),

@@ -1,6 +1,6 @@
 """Builds one SQL text per registered query from shared common table expressions."""
 
-from tradeloom.operators.measures import DAILY_MAIN, DAILY_SUMMARY, names, side_measures
+from tradeloom.operators.measures import DAILY_MAIN, DAILY_SUMMARY, side_measures
 from tradeloom.schemas import (
     GOLD_ACCOUNT_COLUMNS,
     GOLD_DATE_COLUMNS,
@@ -291,6 +291,28 @@ def on_calendar(rows, measures):
 from calendar d left join {rows} r on r.account_nr = d.account_nr and r.day = d.day"""
 
 
+# With every calendar day; `joined` below holds days with trades only, for the sums of the report.
+JOINED_FULL = """
+joined_full as (
+  select d.account_nr, d.day as calendar_day, cast(strftime(d.day, '%Y%m%d') as bigint) as date_key, strftime(d.day, '%A') as day_name,
+    r.symbol, {values}
+  from calendar d left join summary_rows r on r.account_nr = d.account_nr and r.day = d.day
+  left join long_rows l on l.account_nr = r.account_nr and l.day = r.day and l.symbol = r.symbol
+  left join short_rows s on s.account_nr = r.account_nr and s.day = r.day and s.symbol = r.symbol
+)"""
+
+
+def joined_full():
+    """Zeros on empty days; NULL for a side without opened trades on a day with others."""
+    values = [f"case when r.symbol is null then 0 else coalesce(r.{m.name}, 0) end as {m.name}" for m in DAILY_SUMMARY]
+    for word, table in (("long", "l"), ("short", "s")):
+        values += [
+            f"case when r.symbol is null then 0 when {table}.{word}s_opened is null then null else coalesce({table}.{m.name}, 0) end as {m.name}"
+            for m in SIDE_MEASURES[word]
+        ]
+    return JOINED_FULL.format(values=", ".join(values))
+
+
 JOINED = f"""
 joined as (
   select {DAY_COLUMNS}, r.symbol, {GAP}, {zero_filled(DAILY_SUMMARY, "r")},
@@ -465,10 +487,6 @@ def queries():
     dates = f"{with_(BASE, DATES)} select {', '.join(GOLD_DATE_COLUMNS)} from dim_date"
     accounts = f"{with_(BASE)} select {', '.join(GOLD_ACCOUNT_COLUMNS)} from dim_account"
     summary_amounts = {m.name: m for m in DAILY_SUMMARY}
-    joined_names = names(DAILY_SUMMARY) + [m.name for w in SIDE_MEASURES for m in SIDE_MEASURES[w]]
-    joined_select = ", ".join(
-        ["account_nr", "calendar_day", "date_key", "day_name", "symbol", "empty_days_after", *joined_names]
-    )
     out = {
         "dedupe_last": f"{with_(BASE)} select {trades} from trades",
         "trade_features": f"{with_(BASE, FEATURES)} select {doubles(FEATURE_COLUMNS, FEATURE_DECIMALS)} from features",
@@ -495,8 +513,8 @@ from all_days""",
         "daily_main": f"{main} select * from main",
         "daily_long": f"{sides},{CALENDAR} {on_calendar('long_rows', SIDE_MEASURES['long'])}",
         "daily_short": f"{sides},{CALENDAR} {on_calendar('short_rows', SIDE_MEASURES['short'])}",
-        "joined_cube": f"{sides},{JOINED} select {joined_select} from joined",
-        "joined_summaries": f"{sides},{JOINED} select {joined_select} from joined",
+        "joined_cube": f"{sides},{CALENDAR},{joined_full()} select * from joined_full",
+        "joined_summaries": f"{sides},{CALENDAR},{joined_full()} select * from joined_full",
         "kpi_report": f"{sides},{JOINED},{MAIN},{kpi_sql()}",
         "profit_curve": f"{main} select account_nr, calendar_day, cumulative_profit, carried_profit from main",
         "daily_net_profit": f"{main} select account_nr, calendar_day, net_profit from main",
