@@ -16,13 +16,18 @@ from tradeloom.operators.cleaned import cleaned_features
 from tradeloom.operators.delta import delta_append, delta_stale, delta_upsert
 from tradeloom.operators.features import trade_features, trade_history
 from tradeloom.operators.quality import validate_staging
-from tradeloom.plans import cubes, gold, reports
+from tradeloom.operators.staging import current, load
+from tradeloom.plans import cubes, gold, pipeline, reports
 from tradeloom.plans.kpi import kpi_report
-from tradeloom.schemas import GOLD_TRADE_COLUMNS
+from tradeloom.schemas import ACCOUNT_SCHEMA, GOLD_TRADE_COLUMNS, TRADE_COLUMNS, TRADE_SCHEMA
 from tradeloom.session import scratch_path, stored
 from tradeloom.sources import driver_tables as tables
-from tradeloom.sources.files import read_fact_files, write_fact_files
-from tradeloom.sources.statements import html_rows, statement_accounts, statement_trades, typed_trades
+from tradeloom.sources.files import (
+    list_files, read_fact_files, read_named_csv, scan_new_grids, write_csv, write_fact_files, write_grid_files,
+)
+from tradeloom.sources.statements import (
+    checked_rows, html_rows, rejected_documents, rejected_rows, statement_accounts, statement_trades, trades_of, typed_trades,
+)
 
 try:
     import tradeloom.llm.queries as llm
@@ -32,6 +37,7 @@ except ModuleNotFoundError as missing:  # the subpackage and its pipeline can be
     llm = None
 
 SMOKE_DIR = "/root/testdata/sf0.001"
+BUCKETS = 8  # of the staging tables that queries make; the test tables are small
 
 
 def _edge(df: DataFrame) -> DataFrame:
@@ -116,27 +122,117 @@ def _csv_roundtrip(spark, d):
 
 
 def _export_gold(spark, d):
+    """The manifest of an export that follows an earlier one."""
+    folder = scratch_path(spark, "gold")
     views = _gold(spark, d)
-    paths = gold.export_gold(views, scratch_path(spark, "gold"))
-    counts = [
-        spark.read.schema(views[name].schema)
-        .option("header", True)
-        .csv(path)
-        .agg(F.count("*").alias("n_rows"))
-        .select(F.lit(name).alias("view_name"), "n_rows")
-        for name, path in paths.items()
-    ]
-    return counts[0].unionAll(counts[1]).unionAll(counts[2]).unionAll(counts[3])
+    gold.export_gold({name: df.limit(0) for name, df in views.items()}, folder)
+    gold.export_gold(views, folder)
+    return gold.read_manifest(spark, folder).select("view_name", "n_rows")
+
+
+def _exported(name):
+    """A view read back from the exported files."""
+
+    def run(spark, d):
+        folder = scratch_path(spark, "gold")
+        gold.export_gold({name: _gold(spark, d)[name]}, folder)
+        return gold.read_export(spark, folder)[name]
+
+    return run
 
 
 def _delta(function):
+    """The source lacks every seventh ticket and has trades that were closed since."""
+
     def run(spark, d):
-        source = tables.latest_trades(spark, d)
-        return function(source, tables.ledger_as_of(source, oracles.SNAPSHOT))
+        trades = tables.latest_trades(spark, d)
+        return function(trades.filter("ticket % 7 <> 0"), tables.ledger_as_of(trades, oracles.SNAPSHOT))
 
     return run
 
 
+def _loaded(spark, d):
+    """The staging root after three loads of trades, and the counts of each load."""
+    root = scratch_path(spark, "warehouse")
+    table = pipeline.trade_staging(root, BUCKETS)
+    return root, table, [load(rows, table)[1] for rows in tables.staging_loads(spark, d, oracles.LOADS)]
+
+
+def _staged_trades(spark, d):
+    _, table, _ = _loaded(spark, d)
+    return current(spark, table, TRADE_SCHEMA).select(*TRADE_COLUMNS, "load_nr", "n_versions")
+
+
+def _load_states(spark, d):
+    _, _, counts = _loaded(spark, d)
+    rows = [(n, state, count) for n, found in enumerate(counts, 1) for state, count in found.items()]
+    return spark.createDataFrame(rows, "load_nr long, state string, n_rows long")
+
+
+def _staged_accounts(spark, d):
+    table = pipeline.account_staging(scratch_path(spark, "warehouse"), BUCKETS)
+    for rows in tables.account_loads(spark, d):
+        load(rows, table)
+    return current(spark, table, ACCOUNT_SCHEMA).select(*ACCOUNT_SCHEMA.fieldNames(), "load_nr", "n_versions")
+
+
+def _refreshed_features(spark, d):
+    """Stored features after each of three loads, the last two refreshed in part."""
+    root = scratch_path(spark, "warehouse")
+    table = pipeline.trade_staging(root, BUCKETS)
+    for rows in tables.staging_loads(spark, d, oracles.LOADS):
+        load(rows, table)
+        features, _ = pipeline.refresh_features(spark, root, BUCKETS)
+    return features
+
+
+def _selected_accounts(spark, d):
+    """Features of the accounts of one currency, selected before the staging files are read."""
+    _, table, _ = _loaded(spark, d)
+    chosen = tables.accounts(spark, d).filter("account_currency = 'GBP'").select("account_number")
+    return trade_features(current(spark, table, TRADE_SCHEMA, chosen).select(*TRADE_COLUMNS))
+
+
+def _statement_rejects(spark, d):
+    grid = stored(tables.damaged_grid(spark, d), "grid")
+    rejects = rejected_rows(checked_rows(grid), statement_accounts(grid))
+    return rejects.groupBy("file", "reason").agg(F.count("*").alias("n_rows"), F.min("row_idx").alias("first_row"))
+
+
+def _accepted_trades(spark, d):
+    return trades_of(checked_rows(stored(tables.damaged_grid(spark, d), "grid")))
+
+
+def _inbox_scan(spark, d):
+    """Statement files arrive twice; each scan reads those that the listing does not know."""
+    root = scratch_path(spark, "inbox")
+    grid = tables.statement_grid(spark, d).withColumn("file", F.substring_index("file", "_", 2))
+    late, scans = F.split_part("file", F.lit("_"), F.lit(2)).cast("long") % 4 == 0, []
+    for part in (~late, late):
+        write_grid_files(grid.filter(part), f"{root}/files")
+        rows, remember = scan_new_grids(spark, f"{root}/files", f"{root}/seen")
+        scans.append(stored(rows, "scan"))
+        remember()
+    rows = scans[0].unionByName(scans[1])
+    body = rows.filter("row_idx >= 4").groupBy("file", "scan_nr").agg(F.count("*").alias("n_rows"), F.sum(F.col("c13").cast("decimal(18,6)")).alias("profit"))
+    files = list_files(spark, f"{root}/files", "csv", recursive=True).count()
+    return body.withColumn("n_files", F.lit(files).cast("long"))
+
+
+def _named_scan(spark, d):
+    """Trades from files of two spellings and column orders."""
+    root = scratch_path(spark, "named")
+    trades = tables.latest_trades(spark, d)
+    plain = {c: c.replace("_", " ").title() for c in TRADE_COLUMNS}
+    shouted = {c: f" {c.upper().replace('_', '  ')}" for c in TRADE_COLUMNS} | {"account_nr": "Account  Number", "stop_loss": "S / L"}
+    for side, names, order in (("even", plain, 1), ("odd", shouted, -1)):
+        rows = trades.filter(F.col("account_nr") % 2 == int(side == "odd"))
+        write_csv(rows.select(*[F.col(c).alias(names[c]) for c in TRADE_COLUMNS[::order]]), f"{root}/{side}")
+    spelt = {c: c for c in TRADE_COLUMNS} | {"account_number": "account_nr", "s_/_l": "stop_loss"}
+    found = read_named_csv(spark, f"{root}/*", spelt, width=20)
+    return found.select(*[F.col(f.name).cast(f.dataType) for f in TRADE_SCHEMA])
+
+
 def _star_report(spark, d):
     days = dims.dim_date(_bounds(spark, d))
     return reports.star_report(trade_history(_features(spark, d)), tables.accounts(spark, d), days, dims.dim_clock(spark))
@@ -167,6 +263,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "daily_main": _on_cleaned(cubes.daily_main),
         "daily_long": _on_cleaned(cubes.daily_side, word="long"),
         "daily_short": _on_cleaned(cubes.daily_side, word="short"),
+        "gold_dim_clock": lambda s, d: reports.clock_activity(_features(s, d), gold.clock_view(s)),
         "joined_cube": _on_cleaned(cubes.joined_cube),
         "joined_summaries": _joined_summaries,
         "kpi_report": _on_cleaned(kpi_report),
@@ -187,8 +284,20 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "delta_append": _delta(delta_append),
         "delta_stale": _delta(delta_stale),
         "delta_upsert": _delta(delta_upsert),
-        "validate_staging": lambda s, d: validate_staging(tables.raw_trades(s, d), tables.accounts(s, d)),
+        "validate_staging": lambda s, d: validate_staging(tables.flawed_trades(s, d), tables.flawed_accounts(s, d)),
         "export_gold": _export_gold,
+        "exported_trades": _exported("trade_history"),
+        "exported_dates": _exported("dim_date"),
+        "staged_trades": _staged_trades,
+        "load_states": _load_states,
+        "staged_accounts": _staged_accounts,
+        "refreshed_features": _refreshed_features,
+        "selected_accounts": _selected_accounts,
+        "statement_rejects": _statement_rejects,
+        "accepted_trades": _accepted_trades,
+        "html_rejects": lambda s, d: rejected_documents(tables.damaged_html(s, d), tables.HTML_COLUMNS),
+        "inbox_scan": _inbox_scan,
+        "named_scan": _named_scan,
         "account_counts": lambda s, d: reports.account_counts(tables.latest_trades(s, d)),
         "star_report": _star_report,
     }

@@ -10,6 +10,7 @@ from tradeloom.schemas import (
 )
 
 SNAPSHOT = "1999-01-01 00:00:00"
+LOADS = ("1997-01-01 00:00:00", "1999-01-01 00:00:00")
 
 
 def rint(y):
@@ -400,7 +401,72 @@ target as (
     case when close_datetime >= timestamp '{SNAPSHOT}' then 0 else profit end as profit)
   from (select {", ".join(TRADE_COLUMNS)} from trades) where open_datetime < timestamp '{SNAPSHOT}'
 ),
-source as (select {", ".join(TRADE_COLUMNS)} from trades)"""
+source as (select {", ".join(TRADE_COLUMNS)} from trades where ticket % 7 <> 0)"""
+
+
+def as_of(moment):
+    """The trades as a statement taken at `moment` shows them."""
+    later = f"close_datetime >= timestamp '{moment}'"
+    hidden = ", ".join(f"case when {later} then null else {c} end as {c}" for c in ("close_datetime", "close_date_key", "close_price"))
+    return f"""select * replace ({hidden}, case when {later} then 0 else profit end as profit)
+  from (select {", ".join(TRADE_COLUMNS)} from trades) where open_datetime < timestamp '{moment}'"""
+
+
+def staged_ctes(loads, columns, key):
+    """load1, load2, ... and staged1, staged2, ...: the table after each load, with the counts `state1`, ..."""
+    out, names = [], [c for c in columns if c not in key]
+    for n, sql in enumerate(loads, 1):
+        out.append(f"load{n} as ({sql})")
+        if n == 1:
+            out.append("staged1 as (select *, 1 as load_nr, 1 as n_versions from load1)")
+            out.append("state1 as (select 'new' as state from load1)")
+            continue
+        differs = " or ".join(f"l.{c} is distinct from s.{c}" for c in names)
+        state = f"case when s.{key[0]} is null then 'new' when l.{key[0]} is null then 'gone' when {differs} then 'changed' else 'equal' end"
+        both = f"load{n} l full join staged{n - 1} s on " + " and ".join(f"l.{k} = s.{k}" for k in key)
+        pick = ", ".join(f"case when state in ('new', 'changed') then l_{c} else s_{c} end as {c}" for c in columns)
+        sides = ", ".join(f"{t}.{c} as {t}_{c}" for t in "ls" for c in columns)
+        out.append(f"both{n} as (select {state} as state, {sides}, s.load_nr, s.n_versions from {both})")
+        out.append(f"""staged{n} as (select {pick}, case when state in ('new', 'changed') then {n} else load_nr end as load_nr,
+    case when state in ('new', 'changed') then coalesce(n_versions, 0) + 1 else n_versions end as n_versions from both{n})""")
+        out.append(f"state{n} as (select state from both{n})")
+    return ",\n".join(out)
+
+
+TRADE_LOADS = [as_of(LOADS[0]), f"select * from ({as_of(LOADS[1])}) where ticket % 3 <> 0",
+    f"select {', '.join(TRADE_COLUMNS)} from trades where ticket % 2 = 0"]
+ACCOUNT_LOADS = [
+    "select * from accounts",
+    "select * replace (case when account_number % 7 = 0 then 'EUR' else account_currency end as account_currency) from accounts where account_number % 5 <> 0",
+]
+
+DAMAGED_GRID = """
+damaged as (
+  select *, account_nr % 10 = 3 as headless, account_nr % 10 = 7 and year(open_datetime) = 1995 as emptied,
+    l_partkey % 90 = 18 as bad_type, l_partkey % 50 = 10 as bad_ticket, l_partkey % 70 = 14 as bad_time from grid
+),
+reasons as (
+  select *, case when headless then 'no account' when bad_type then 'other type' when bad_ticket then 'bad ticket' when bad_time then 'bad time' end as reason
+  from damaged where not emptied
+)"""
+
+FLAWED = """
+flawed as (
+  select * replace (
+    case when ticket % 83 = 0 then account_nr + 1000000000 else account_nr end as account_nr,
+    case when ticket % 101 <> 0 then open_datetime end as open_datetime,
+    case when ticket % 79 <> 0 then open_date_key end as open_date_key,
+    case when ticket % 97 = 0 then repeat('b', 26) when ticket % 103 <> 0 then type end as type,
+    case when ticket % 89 = 0 then repeat('s', 51) else symbol end as symbol,
+    case when ticket % 107 <> 0 then ticket end as ticket) from raw
+),
+doubled as (select * from accounts union all select * from accounts where account_number % 17 = 0),
+flawed_accounts as (
+  select case when account_number % 23 <> 0 then account_number end as account_number,
+    case when account_number % 19 = 0 then repeat('n', 256) when account_number % 11 <> 0 then account_name end as account_name,
+    case when account_number % 13 = 0 then 'DOLLAR' when account_number % 29 <> 0 then account_currency end as account_currency
+  from doubled
+)"""
 
 
 def kpi_sql():
@@ -487,6 +553,8 @@ def queries():
     dates = f"{with_(BASE, DATES)} select {', '.join(GOLD_DATE_COLUMNS)} from dim_date"
     accounts = f"{with_(BASE)} select {', '.join(GOLD_ACCOUNT_COLUMNS)} from dim_account"
     summary_amounts = {m.name: m for m in DAILY_SUMMARY}
+    staged = staged_ctes(TRADE_LOADS, TRADE_COLUMNS, ["account_nr", "ticket"])
+    staged_features = FEATURES.replace("from trades", "from staged3")
     out = {
         "dedupe_last": f"{with_(BASE)} select {trades} from trades",
         "trade_features": f"{with_(BASE, FEATURES)} select {doubles(FEATURE_COLUMNS, FEATURE_DECIMALS)} from features",
@@ -509,6 +577,8 @@ from all_days""",
         "gold_trade_history": history,
         "gold_dim_account_info": accounts,
         "gold_dim_date": dates,
+        "gold_dim_clock": f"""{with_(BASE, CLOCK)} select c.*, coalesce(n, 0) as trades_opened from dim_clock c
+left join (select strftime(open_datetime, '%H:%M:%S') as clock, count(*) as n from trades group by 1) t using (clock)""",
         "daily_summary": f"{days},{CALENDAR} {on_calendar('summary_rows', DAILY_SUMMARY)}",
         "daily_main": f"{main} select * from main",
         "daily_long": f"{sides},{CALENDAR} {on_calendar('long_rows', SIDE_MEASURES['long'])}",
@@ -545,21 +615,45 @@ from spine s left join summary_rows r on r.account_nr = s.account_nr and r.day =
         "csv_roundtrip": f"{with_(BASE)} select {trades} from trades",
         "delta_append": f"{with_(BASE, SNAPSHOT_CTES)} select {trades} from (select * from source except select * from target)",
         "delta_stale": f"{with_(BASE, SNAPSHOT_CTES)} select {trades} from (select * from target except select * from source)",
-        "delta_upsert": f"{with_(BASE, SNAPSHOT_CTES)} select {trades} from source",
-        "validate_staging": f"""{with_(BASE)}
+        "delta_upsert": f"""{with_(BASE, SNAPSHOT_CTES)} select {trades} from source
+union all select {trades} from target where (account_nr, ticket) not in (select (account_nr, ticket) from source)""",
+        "validate_staging": f"""{with_(BASE, FLAWED)}
 select 'trade_history' as table_name, 'not_null' as check_name, c as column_name, cast(n as bigint) as violations from (
   select unnest(['account_nr', 'ticket', 'open_datetime', 'open_date_key', 'type']) as c,
-    unnest([count(*) - count(account_nr), count(*) - count(ticket), count(*) - count(open_datetime), count(*) - count(open_date_key), count(*) - count(type)]) as n from raw)
-union all select 'trade_history', 'max_length', 'type', count(*) from raw where length(type) > 25
-union all select 'trade_history', 'max_length', 'symbol', count(*) from raw where length(symbol) > 50
-union all select 'dim_account', 'not_null', 'account_number', count(*) from accounts where account_number is null
-union all select 'dim_account', 'not_null', 'account_name', count(*) from accounts where account_name is null
-union all select 'dim_account', 'not_null', 'account_currency', count(*) from accounts where account_currency is null
-union all select 'dim_account', 'max_length', 'account_name', count(*) from accounts where length(account_name) > 255
-union all select 'dim_account', 'max_length', 'account_currency', count(*) from accounts where length(account_currency) > 5
-union all select 'trade_history', 'unique', 'ticket', count(*) from (select ticket from raw group by 1 having count(*) > 1)
-union all select 'dim_account', 'unique', 'account_number', count(*) from (select account_number from accounts group by 1 having count(*) > 1)
-union all select 'trade_history', 'foreign_key', 'account_nr', count(*) from raw where account_nr not in (select account_number from accounts)""",
+    unnest([count(*) - count(account_nr), count(*) - count(ticket), count(*) - count(open_datetime), count(*) - count(open_date_key), count(*) - count(type)]) as n from flawed)
+union all select 'trade_history', 'max_length', 'type', count(*) from flawed where length(type) > 25
+union all select 'trade_history', 'max_length', 'symbol', count(*) from flawed where length(symbol) > 50
+union all select 'dim_account', 'not_null', 'account_number', count(*) from flawed_accounts where account_number is null
+union all select 'dim_account', 'not_null', 'account_name', count(*) from flawed_accounts where account_name is null
+union all select 'dim_account', 'not_null', 'account_currency', count(*) from flawed_accounts where account_currency is null
+union all select 'dim_account', 'max_length', 'account_name', count(*) from flawed_accounts where length(account_name) > 255
+union all select 'dim_account', 'max_length', 'account_currency', count(*) from flawed_accounts where length(account_currency) > 5
+union all select 'trade_history', 'unique', 'ticket', count(*) from (select ticket from flawed where ticket is not null group by 1 having count(*) > 1)
+union all select 'dim_account', 'unique', 'account_number', count(*) from (select account_number from flawed_accounts where account_number is not null group by 1 having count(*) > 1)
+union all select 'trade_history', 'foreign_key', 'account_nr', count(*) from flawed
+  where account_nr not in (select account_number from flawed_accounts where account_number is not null)""",
+        "exported_trades": history,
+        "exported_dates": dates,
+        "staged_trades": f"{with_(BASE, staged)} select {trades}, cast(load_nr as bigint) as load_nr, cast(n_versions as bigint) as n_versions from staged3",
+        "load_states": f"""{with_(BASE, staged)} select cast(1 as bigint) as load_nr, state, count(*) as n_rows from state1 group by 2
+union all select 2, state, count(*) from state2 group by 2 union all select 3, state, count(*) from state3 group by 2""",
+        "staged_accounts": f"""{with_(BASE, staged_ctes(ACCOUNT_LOADS, ["account_number", "account_name", "account_currency"], ["account_number"]))}
+select account_number, account_name, account_currency, cast(load_nr as bigint) as load_nr, cast(n_versions as bigint) as n_versions from staged2""",
+        "refreshed_features": f"{with_(BASE, staged, staged_features)} select {doubles(FEATURE_COLUMNS, FEATURE_DECIMALS)} from features",
+        "selected_accounts": f"""{with_(BASE, staged, staged_features)} select {doubles(FEATURE_COLUMNS, FEATURE_DECIMALS)} from features
+where account_nr in (select account_number from accounts where account_currency = 'GBP')""",
+        "statement_rejects": f"""{with_(BASE, grid_ctes(), DAMAGED_GRID)}
+select file, reason, count(*) as n_rows, min(row_idx) as first_row from reasons where reason is not null group by 1, 2
+union all select distinct file, 'no rows', 1, null from damaged where emptied""",
+        "accepted_trades": f"""{with_(BASE, grid_ctes(), DAMAGED_GRID)}
+select {trades} from (select * from reasons where coalesce(reason, 'other type') = 'other type' and not bad_ticket
+  qualify row_number() over (partition by account_nr, ticket order by file desc, row_idx desc) = 1) where reason is null""",
+        "html_rejects": f"""{with_(BASE)} select distinct account_nr || '-' || (ticket // 10000) as doc_id,
+  case account_nr % 10 when 1 then 'no table' when 2 then 'no header row' when 3 then 'no rows' else 'unknown header' end as reason
+from trades where account_nr % 10 between 1 and 4""",
+        "inbox_scan": f"""{with_(BASE)} select 'statement_' || account_nr as file, cast(case when account_nr % 4 = 0 then 2 else 1 end as bigint) as scan_nr,
+  count(*) as n_rows, cast(sum(profit) as double) as profit, (select count(distinct account_nr) from raw) as n_files from raw group by 1, 2""",
+        "named_scan": f"{with_(BASE)} select {trades} from trades",
         "export_gold": f"""{with_(BASE, DATES)}
 select 'trade_history' as view_name, count(*) as n_rows from trades where type in ('buy', 'sell')
 union all select 'dim_account_info', count(*) from accounts union all select 'dim_date', count(*) from dim_date

@@ -40,11 +40,20 @@ def test_warehouse_job_is_repeatable(spark, tmp_path):
     staged = spark.read.parquet(f"{tmp_path}/staging/trade_history").count()
     run_warehouse(grid, str(tmp_path), "2001-12-31")
     assert spark.read.parquet(f"{tmp_path}/staging/trade_history").count() == staged == 4599
-    assert spark.table("stale_trades").count() == 0
+    assert spark.table("rejected_rows").count() == 0
+    assert spark.table("staging_checks").filter("violations > 0").count() == 0
     assert set(paths) == {"trade_history", "dim_account_info", "dim_date", "dim_clock"}
     assert spark.table("gold_trade_history").count() == spark.read.option("header", True).csv(paths["trade_history"]).count()
 
 
+@needs_data
+def test_warehouse_job_counts_rejects(spark, tmp_path):
+    grid = driver_tables.damaged_grid(spark, SF)
+    run_warehouse(grid, str(tmp_path), "2001-12-31")
+    reasons = {r.reason: r["count"] for r in spark.table("rejected_rows").groupBy("reason").count().collect()}
+    assert set(reasons) == {"no account", "other type", "bad ticket", "bad time", "no rows"} and all(reasons.values())
+
+
 @needs_data
 def test_daily_tables_job(spark, tmp_path):
     tables = run_daily_tables(driver_tables.statement_grid(spark, SF), str(tmp_path), "2001-12-31")

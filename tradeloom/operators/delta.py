@@ -36,7 +36,7 @@ def delta_stale(source, target, columns=TRADE_COLUMNS):
     return rows_not_in(target, source, columns)
 
 
-def delta_upsert(source, target, key="ticket"):
-    """Target after the load when the newest row per key wins."""
-    untouched = target.join(source.select(key), key, "left_anti")
+def delta_upsert(source, target, key=("account_nr", "ticket")):
+    """Target after the load: source rows, one per key, replace the target's rows of their key."""
+    untouched = target.join(source.select(*key), list(key), "left_anti")
     return untouched.select(*source.columns).unionByName(source)

@@ -11,31 +11,32 @@ ACCOUNT_NOT_NULL = ["account_number", "account_name", "account_currency"]
 ACCOUNT_MAX_LENGTH = {"account_name": 255, "account_currency": 5}
 
 
-def _column_checks(df, table, not_null, max_length):
-    """All per-column checks of a table in one pass, one row per check."""
+def _checks(not_null, max_length):
     checks = [("not_null", c, F.count_if(F.col(c).isNull())) for c in not_null]
-    checks += [("max_length", c, F.count_if(F.length(c) > n)) for c, n in max_length.items()]
-    totals = df.agg(*[n.alias(f"n{i}") for i, (_, _, n) in enumerate(checks)])
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(table).alias("table_name"),
-                F.lit(check).alias("check_name"),
-                F.lit(c).alias("column_name"),
-                F.col(f"n{i}").alias("violations"),
-            )
-            for i, (check, c, _) in enumerate(checks)
-        ]
-    )
-    return totals.select(F.inline(rows))
+    return checks + [("max_length", c, F.count_if(F.length(c) > n)) for c, n in max_length.items()]
 
 
-def _labelled(counted, table, check, column):
-    return counted.select(
-        F.lit(table).alias("table_name"),
-        F.lit(check).alias("check_name"),
-        F.lit(column).alias("column_name"),
-        F.coalesce("violations", F.lit(0)).cast("long").alias("violations"),
+def _table_checks(df, table, key, not_null, max_length):
+    """All checks of a table that need no other table, from one aggregation by its unique key."""
+    checks = _checks(not_null, max_length)
+    per_key = df.groupBy(key).agg(F.count("*").alias("copies"), *[n.alias(f"n{i}") for i, (_, _, n) in enumerate(checks)])
+    repeated = F.count_if((F.col("copies") > 1) & F.col(key).isNotNull()).alias("repeated")
+    totals = per_key.agg(repeated, *[F.sum(f"n{i}").alias(f"n{i}") for i in range(len(checks))])
+    found = [(check, c, F.coalesce(f"n{i}", F.lit(0))) for i, (check, c, _) in enumerate(checks)] + [("unique", key, F.col("repeated"))]
+    return totals.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(table).alias("table_name"),
+                        F.lit(check).alias("check_name"),
+                        F.lit(c).alias("column_name"),
+                        n.cast("long").alias("violations"),
+                    )
+                    for check, c, n in found
+                ]
+            )
+        )
     )
 
 
@@ -55,17 +56,12 @@ def orphans(trades, accounts):
 
 
 def validate_staging(trades, accounts):
-    """One row per constraint with the number of violations (0 when it holds)."""
+    """One row per constraint with the number of violations (0 when it holds); two passes over the trades."""
+    lost = orphans(trades, accounts).agg(F.coalesce(F.sum("count"), F.lit(0)).alias("violations"))
+    foreign = lost.selectExpr("'trade_history' as table_name", "'foreign_key' as check_name", "'account_nr' as column_name", "violations")
     parts = [
-        _column_checks(trades, "trade_history", TRADE_NOT_NULL, TRADE_MAX_LENGTH),
-        _column_checks(accounts, "dim_account", ACCOUNT_NOT_NULL, ACCOUNT_MAX_LENGTH),
-        _labelled(repeated_keys(trades, "ticket").agg(F.count("*").alias("violations")), "trade_history", "unique", "ticket"),
-        _labelled(
-            repeated_keys(accounts, "account_number").agg(F.count("*").alias("violations")),
-            "dim_account",
-            "unique",
-            "account_number",
-        ),
-        _labelled(orphans(trades, accounts).agg(F.sum("count").alias("violations")), "trade_history", "foreign_key", "account_nr"),
+        _table_checks(trades, "trade_history", "ticket", TRADE_NOT_NULL, TRADE_MAX_LENGTH),
+        _table_checks(accounts, "dim_account", "account_number", ACCOUNT_NOT_NULL, ACCOUNT_MAX_LENGTH),
+        foreign,
     ]
     return reduce(lambda a, b: a.unionByName(b), parts)

@@ -42,18 +42,18 @@ def split_hot(df, key, hot_rows=HOT_ROWS):
     return df.join(listed, key, "left_anti"), df.join(listed, key, "left_semi")
 
 
-def join_lookup(rows, lookup, key, hot_rows=HOT_ROWS):
-    """Inner join with a table of one row per key, where few keys may hold most rows.
+def join_lookup(rows, lookup, key, hot_rows=HOT_ROWS, how="inner"):
+    """Inner or left join with a table of one row per key, where few keys may hold most rows.
 
     Lookup rows of hot keys are broadcast; they are as few as the hot keys themselves.
     """
     hot = hot_keys(rows, key, hot_rows)
     if hot.isEmpty():
-        return rows.join(lookup, key)
+        return rows.join(lookup, key, how)
     listed = F.broadcast(hot)
-    ordinary = rows.join(listed, key, "left_anti").join(lookup, key)
+    ordinary = rows.join(listed, key, "left_anti").join(lookup, key, how)
     few = F.broadcast(lookup.join(listed, key, "left_semi"))
-    return ordinary.unionByName(rows.join(few, key))
+    return ordinary.unionByName(rows.join(listed, key, "left_semi").join(few, key, how))
 
 
 class Ledger(NamedTuple):

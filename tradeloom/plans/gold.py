@@ -1,5 +1,11 @@
 """Gold layer: explicit projections, temporary views and file export."""
 
+import time
+import uuid
+from functools import reduce
+
+from pyspark.sql import functions as F
+
 from tradeloom.operators.dims import dim_account, dim_clock, dim_date
 from tradeloom.operators.features import trade_history
 from tradeloom.schemas import (
@@ -49,9 +55,53 @@ def gold_views(features, accounts, bounds, register=False):
     return views
 
 
+def checksum(df):
+    """Sum of row hashes: the same for the same rows in any order."""
+    return F.coalesce(F.sum(F.xxhash64(*df.columns).cast("decimal(20,0)")), F.lit(0)).cast("string")
+
+
 def export_gold(views, folder):
-    """Write each view as CSV below `folder`; returns the paths by view name."""
-    paths = {name: f"{folder.rstrip('/')}/{name}" for name in views}
+    """Write each view as CSV and publish all of them in one step; returns the paths by view name.
+
+    Views go to a fresh folder. Its files are read back into the manifest (view, path, rows,
+    checksum, columns); writing that makes them the current export. An export that fails on the
+    way leaves the former one current.
+    """
+    folder = folder.rstrip("/")
+    spark = next(iter(views.values())).sparkSession
+    paths = {name: f"{folder}/version={uuid.uuid4().hex}/{name}" for name in views}
     for name, df in views.items():
         write_csv(df, paths[name], SORT_COLUMNS[name])
+    listed = []
+    for number, (name, df) in enumerate(views.items()):
+        back = spark.read.schema(df.schema).option("header", True).option("mode", "FAILFAST").csv(paths[name])
+        listed.append(
+            back.agg(F.count("*").alias("n_rows"), checksum(back).alias("checksum")).select(
+                F.lit(number).alias("place"), F.lit(name).alias("view_name"), F.lit(paths[name]).alias("path"), "n_rows", "checksum",
+                F.lit(", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)).alias("columns"),
+            )
+        )
+    manifest = reduce(lambda a, b: a.unionByName(b), listed).withColumn("published", F.lit(time.time_ns()))
+    manifest.coalesce(1).write.mode("append").json(f"{folder}/manifest")
     return paths
+
+
+def read_manifest(spark, folder):
+    """The current export: (view_name, path, n_rows, checksum, columns)."""
+    schema = "place int, view_name string, path string, n_rows long, checksum string, columns string, published long"
+    every = spark.read.schema(schema).json(f"{folder.rstrip('/')}/manifest")
+    last = every.agg(F.max("published")).first()[0]
+    return every.filter(F.col("published") == last).orderBy("place").drop("place", "published")
+
+
+def read_export(spark, folder, verify=True):
+    """Frames of the current export by view name; a file that does not hold what was listed is an error."""
+    found = {}
+    for r in read_manifest(spark, folder).collect():
+        df = spark.read.schema(r.columns).option("header", True).option("mode", "FAILFAST").csv(r.path)
+        if verify:
+            now = df.agg(F.count("*").alias("n"), checksum(df).alias("sum")).first()
+            if (now.n, now.sum) != (r.n_rows, r.checksum):
+                raise ValueError(f"{r.view_name} at {r.path} is not what was exported")
+        found[r.view_name] = df
+    return found

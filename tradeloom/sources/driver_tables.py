@@ -224,3 +224,78 @@ def html_statements(spark, sf_dir):
 def order_open_times(spark, sf_dir):
     """Opening times of the latest trades, for their date range."""
     return latest_trades(spark, sf_dir).select("open_datetime")
+
+
+# Statements and rows with known faults, made from the tables by fixed rules.
+
+
+def _account_of(file):
+    return F.split_part(file, F.lit("_"), F.lit(2)).cast("long")
+
+
+def damaged_grid(spark, sf_dir):
+    """Statement grids where some files lack their header or all rows, and some rows cannot be read."""
+    grid = statement_grid(spark, sf_dir)
+    account, year = _account_of(F.col("file")), F.split_part("file", F.lit("_"), F.lit(3))
+    part = F.floor((F.col("row_idx") - 4) / 100_000_000)
+    body = F.col("row_idx") >= 4
+    gone = ((account % 10 == 3) & (F.col("row_idx") == 1)) | ((account % 10 == 7) & (year == "1995") & body)
+    broken = {"c0": (50, "n/a"), "c1": (70, "31.02.1996"), "c2": (90, "buy limit")}
+    return grid.filter(~gone).withColumns(
+        {c: F.when(body & (part % n == n // 5), F.lit(text)).otherwise(F.col(c)) for c, (n, text) in broken.items()}
+    )
+
+
+def damaged_html(spark, sf_dir):
+    """HTML statements of which some have no table, no header row, other headers or no data rows."""
+    docs = html_statements(spark, sf_dir)
+    kind = F.split_part("doc_id", F.lit("-"), F.lit(1)).cast("long") % 10
+    rows = F.split("html", "</tr>")
+    cut = lambda n: F.concat(F.array_join(F.slice(rows, 1, n), "</tr>"), F.lit("</tr></table></body></html>"))
+    return docs.withColumn(
+        "html",
+        F.when(kind == 1, F.lit("<html><body><p>No statement</p></body></html>"))
+        .when(kind == 2, cut(2))
+        .when(kind == 3, cut(3))
+        .when(kind == 4, F.replace(F.col("html"), F.lit("<b>"), F.lit("<b>Old ")))
+        .otherwise(F.col("html")),
+    )
+
+
+def flawed_trades(spark, sf_dir):
+    """Raw trades with missing values, overlong texts and unknown accounts."""
+    ticket = F.col("ticket")
+    spoilt = {
+        "account_nr": F.when(ticket % 83 == 0, F.col("account_nr") + 1_000_000_000).otherwise(F.col("account_nr")),
+        "open_datetime": F.when(ticket % 101 != 0, F.col("open_datetime")),
+        "open_date_key": F.when(ticket % 79 != 0, F.col("open_date_key")),
+        "type": F.when(ticket % 97 == 0, F.lit("b" * 26)).when(ticket % 103 != 0, F.col("type")),
+        "symbol": F.when(ticket % 89 == 0, F.lit("s" * 51)).otherwise(F.col("symbol")),
+    }
+    return raw_trades(spark, sf_dir).withColumns(spoilt).withColumn("ticket", F.when(ticket % 107 != 0, ticket))
+
+
+def flawed_accounts(spark, sf_dir):
+    """Accounts with missing values, overlong texts and repeated numbers."""
+    number = F.col("account_number")
+    rows = accounts(spark, sf_dir)
+    rows = rows.unionByName(rows.filter(number % 17 == 0))
+    return rows.select(
+        F.when(number % 23 != 0, number).alias("account_number"),
+        F.when(number % 19 == 0, F.lit("n" * 256)).when(number % 11 != 0, F.col("account_name")).alias("account_name"),
+        F.when(number % 13 == 0, F.lit("DOLLAR")).when(number % 29 != 0, F.col("account_currency")).alias("account_currency"),
+    )
+
+
+def staging_loads(spark, sf_dir, moments):
+    """Three loads of trades: as of two moments, the second without a third of the tickets; then even tickets only."""
+    trades = latest_trades(spark, sf_dir)
+    first, second = (ledger_as_of(trades, m) for m in moments)
+    return [first, second.filter("ticket % 3 <> 0"), trades.filter("ticket % 2 = 0")]
+
+
+def account_loads(spark, sf_dir):
+    """Two loads of accounts: all, then every seventh in another currency and every fifth left out."""
+    first = accounts(spark, sf_dir)
+    moved = F.when(F.col("account_number") % 7 == 0, F.lit("EUR")).otherwise(F.col("account_currency"))
+    return [first, first.filter("account_number % 5 <> 0").withColumn("account_currency", moved)]

@@ -2,8 +2,10 @@
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from tradeloom.operators.skew import HOT_ROWS, join_lookup
 from tradeloom.schemas import (
     ACCOUNT_FILE_NAMES,
     ACCOUNT_SCHEMA,
@@ -59,9 +61,9 @@ def _type_glob(file_types):
     return "*{" + ",".join(f".{t}" for t in types) + "}*"
 
 
-def list_files(spark, folder, file_types=None):
+def list_files(spark, folder, file_types=None, recursive=False):
     """Name and full path of the files in a folder; file contents are not read."""
-    reader = spark.read.format("binaryFile")
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
     glob = _type_glob(file_types)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
@@ -75,6 +77,78 @@ def read_grid_files(spark, folder, file_types="csv"):
     return grid.select(F.col("_metadata.file_name").alias("file"), *schema.fieldNames())
 
 
+def statement_of(path):
+    """The statement a file belongs to: its `statement=` folder, or its own name."""
+    folder = F.regexp_extract(path, r"/statement=([^/]+)/", 1)
+    return F.when(folder != "", folder).otherwise(F.element_at(F.split(path, "/"), -1))
+
+
+def write_grid_files(grid, folder):
+    """Statement grids as CSV, a folder per statement; files already there stay."""
+    named = grid.withColumnRenamed("file", "statement").repartition("statement").sortWithinPartitions("statement", "row_idx")
+    named.write.mode("append").partitionBy("statement").csv(folder)
+
+
+def unseen_files(spark, folder, seen, file_types="csv"):
+    """Paths below `folder` that the listing at `seen` does not hold; the listing is a table that grows."""
+    listed = list_files(spark, folder, file_types, recursive=True).select("path")
+    schema = "path string, scan_nr long"
+    try:
+        known = spark.read.schema(schema).parquet(seen)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        known = spark.createDataFrame([], schema)
+    return listed.join(known, "path", "left_anti"), known
+
+
+def scan_new_grids(spark, folder, seen, file_types="csv"):
+    """Grid rows of the files that no earlier scan has read, with the number of this scan.
+
+    The paths reach the driver, as Spark's own file index does. The listing is written when the
+    rows have been taken over: call `remember` then; a scan that failed is simply made again.
+    """
+    fresh, known = unseen_files(spark, folder, seen, file_types)
+    paths = [r.path for r in fresh.collect()]
+    scan = (known.agg(F.max("scan_nr")).first()[0] or 0) + 1
+    schema = type(GRID_SCHEMA)(GRID_SCHEMA.fields[1:])
+    if not paths:
+        return spark.createDataFrame([], GRID_SCHEMA).withColumn("scan_nr", F.lit(scan).cast("long")), lambda: None
+    grid = spark.read.schema(schema).csv(paths)
+    grid = grid.select(statement_of(F.col("_metadata.file_path")).alias("file"), *schema.fieldNames())
+
+    def remember():
+        rows = spark.createDataFrame([(p, scan) for p in paths], "path string, scan_nr long")
+        rows.coalesce(1).write.mode("append").parquet(seen)
+
+    return grid.withColumn("scan_nr", F.lit(scan).cast("long")), remember
+
+
+def read_named_csv(spark, folder, names, width=64, hot_rows=HOT_ROWS):
+    """CSV files whose columns are found by each file's own header row.
+
+    names: normalised header text (lower case, blanks as one underscore) to output name, several
+    spellings for one output allowed. A file may order and spell its columns as it likes; columns
+    it lacks are NULL, columns that no name stands for are left out. The header row is the row that
+    holds most names of `names` as cells, at least half of the outputs; rows of files without one
+    come with every column NULL except `file`.
+    """
+    cells = [f"c{i}" for i in range(width)]
+    rows = spark.read.schema(", ".join(f"{c} string" for c in cells)).option("mode", "PERMISSIVE").csv(folder)
+    rows = rows.select(F.col("_metadata.file_path").alias("file"), F.array(*cells).alias("cells"))
+    plain = F.transform("cells", lambda c: F.lower(F.regexp_replace(F.trim(c), r"\s+", "_")))
+    outputs = list(dict.fromkeys(names.values()))
+    known = F.size(F.array_intersect(plain, F.array(*map(F.lit, names))))
+    rows = rows.withColumns({"plain": plain, "known": known})
+    is_header = F.col("known") >= F.lit((len(outputs) + 1) // 2)
+    heads = rows.filter(is_header).groupBy("file").agg(F.max_by("plain", "known").alias("header"))
+    body = join_lookup(rows.filter(~is_header).select("file", "cells"), heads, "file", hot_rows, "left")
+    place = lambda spelling: F.nullif(F.array_position("header", F.lit(spelling)), F.lit(0).cast("long"))
+    spelt = {o: [place(n) for n, out in names.items() if out == o] for o in outputs}
+    cell = lambda o: F.get("cells", (F.coalesce(*spelt[o]) - 1).cast("int")).alias(o)
+    return body.select("file", *[cell(o) for o in outputs])
+
+
 def read_html_files(spark, folder, file_types="htm"):
     """One row per HTML file with its whole text."""
     reader = spark.read.option("pathGlobFilter", _type_glob(file_types))
