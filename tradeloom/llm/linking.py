@@ -7,12 +7,15 @@ different groups are members of different groups compared with each other. So no
 left out is in one group already.
 """
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from tradeloom.session import stored
+from tradeloom.session import discard, stored
 
 
 BROADCAST_ROWS = 1_000_000
+ONE_TASK_LINKS = 200_000  # so many links are grouped by one task, of 3 MB; more by distributed rounds
 
 
 def counted_small(ids, items=None):
@@ -23,15 +26,43 @@ def counted_small(ids, items=None):
     return F.broadcast(ids) if (ids if items is None else items).count() <= BROADCAST_ROWS else ids
 
 
+def _forest(batches):
+    """Union-find over the links of a task: (node, its smallest known partner) for all but the smallest."""
+    parent = {}
+
+    def root(x):
+        top = x
+        while parent.get(top, top) != top:
+            top = parent[top]
+        while parent.get(x, x) != top:
+            parent[x], x = top, parent[x]
+        return top
+
+    for batch in batches:
+        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
+            a, b = root(a), root(b)
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+    nodes = np.array(sorted(parent), np.int64)
+    for first in range(0, len(nodes), 1 << 16):
+        part = nodes[first : first + (1 << 16)].tolist()
+        yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(map(root, part), pa.int64())], ["a", "b"])
+
+
 def components(edges):
-    """Smallest node reachable for each node of `edges` (a, b), as (node, root).
+    """Smallest node reachable for each node of `edges` (a, b), as (node, root); roots have no row.
 
-    Union-find by alternating stars: every node hands its larger, then its smaller neighbours to
+    Tasks first contract the links they hold. Few links are then finished by one task. For more,
+    union-find goes on by alternating stars: every node hands its larger, then its smaller neighbours to
     the smallest one it knows, until nothing moves. Each round is a written table; only the
     smallest neighbour of a node is aggregated, so a node may have any number of neighbours.
     """
     clean = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    now, seen = stored(clean.distinct(), "links"), None
+    now, seen = stored(clean.mapInArrow(_forest, "a long, b long"), "links"), None
+    if now.count() <= ONE_TASK_LINKS:
+        done = stored(now.coalesce(1).mapInArrow(_forest, "a long, b long"), "links")
+        discard(now)
+        return done.select(F.col("a").alias("node"), F.col("b").alias("root"))
     while True:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
@@ -39,7 +70,8 @@ def components(edges):
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a")
         moved = small.select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
-        now = stored(moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "links")
+        old, now = now, stored(moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "links")
+        discard(old)
         state = now.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
         if state == seen:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
@@ -55,18 +87,17 @@ def bucket_components(buckets, nodes, verify, rounds=2, across=None):
     across:  for the last step: takes the rows (bucket, member, group) of the buckets that still
              hold different groups, returns links (a, b) between groups; by default all pairs
              of members of different groups are verified.
+
+    Ends as soon as no bucket holds different groups. Tables are removed after their last reader.
     """
     several = buckets.groupBy("bucket").count().filter("count > 1").select("bucket")
-    shared = stored(buckets.join(several, "bucket", "left_semi"), "shared-buckets")
+    found = stored(buckets.join(several, "bucket", "left_semi"), "shared-buckets")
     # Only nodes that share a bucket carry their columns along.
     member = F.struct("node", *[c for c in nodes.columns if c != "node"])
-    shared = stored(
-        shared.join(nodes, "node").select("bucket", member.alias("member"), F.col("node").alias("group")), "split-buckets"
-    )
-    edges, tested = None, None
+    shared = stored(found.join(nodes, "node").select("bucket", member.alias("member"), F.col("node").alias("group")), "split-buckets")
+    discard(found)
+    edges, tested, spent = None, None, []
     for turn in range(rounds + 1):
-        if turn:
-            shared = stored(shared.join(split, "bucket", "left_semi"), "split-buckets")
         if turn == rounds and across:
             links = across(shared)
         else:
@@ -74,6 +105,7 @@ def bucket_components(buckets, nodes, verify, rounds=2, across=None):
             if tested is not None:
                 pairs = pairs.join(tested, F.struct("a.node", "b.node") == F.col("done"), "left_anti")
             pairs = stored(pairs, "pairs")
+            spent.append(pairs)
             done = pairs.select(F.struct("a.node", "b.node").alias("done"))
             tested = done if tested is None else tested.unionByName(done)
             links = verify(pairs).select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
@@ -81,12 +113,18 @@ def bucket_components(buckets, nodes, verify, rounds=2, across=None):
             links = links.unionByName(edges)
         roots = components(links)
         edges = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        if turn == rounds:
+            break
         named = roots.select(F.col("node").alias("known"), "root")
-        shared = shared.join(named, F.col("member.node") == F.col("known"), "left").select(
+        old, shared = shared, shared.join(named, F.col("member.node") == F.col("known"), "left").select(
             "bucket", "member", F.coalesce("root", "member.node").alias("group")
         )
         open_ones = shared.groupBy("bucket").agg(F.min("group").alias("low"), F.max("group").alias("high"))
-        split = open_ones.filter("low < high").select("bucket")
+        shared = stored(shared.join(open_ones.filter("low < high").select("bucket"), "bucket", "left_semi"), "split-buckets")
+        discard(old)
+        if shared.isEmpty():
+            break
+    discard(shared, *spent)
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tradeloom.llm import textbatch as tb
 from tradeloom.llm.linking import bucket_components, components, counted_small
-from tradeloom.session import stored
+from tradeloom.session import discard, stored
 
 WIDTH = 5
 PERCENT = 75
@@ -166,7 +166,9 @@ def near_duplicates(docs, id="doc_id", text="text", percent=PERCENT):
         both = close.join(one, F.col("a.node") == F.col("id_a")).join(two, F.col("b.node") == F.col("id_b"))
         common = F.size(F.array_intersect("set_a", "set_b"))
         union = F.size("set_a") + F.size("set_b") - common
-        return both.filter(100 * common >= percent * union).select("a", "b")
+        links = stored(both.filter(100 * common >= percent * union).select("a", "b"), "links-found")
+        discard(close, sets)
+        return links
 
     roots = bucket_components(buckets, repeated, verify, across=across)
     labels = classes.join(roots, "node", "left").select(*same, F.coalesce("root", "node").alias("component"))
