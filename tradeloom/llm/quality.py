@@ -154,12 +154,14 @@ def _examples(posterior):
             each = np.bincount(pair // BUCKETS, minlength=len(counts))
             yield pa.RecordBatch.from_arrays(
                 [
+                    rows.column("key"),
+                    rows.column("copies"),
                     pa.array(posterior[votes(found) @ powers]),
                     tb.lists(bins.ravel(), np.full(len(counts), len(SIGNALS)), pa.int64()),
                     tb.lists(pair % BUCKETS, each, pa.int64()),
                     tb.lists(n * share[pair // BUCKETS], each, pa.float64()),
                 ],
-                ["target", "bins", "words", "shares"],
+                ["key", "copies", "target", "bins", "words", "shares"],
             )
 
     return rows_of
@@ -182,8 +184,8 @@ def train(docs, text="text", train_rows=TRAIN_ROWS):
     """(weights, bias) of the scorer.
 
     The vote patterns of all documents are counted (at most 3**7 rows reach the driver). About
-    `train_rows` documents, chosen by a hash of the text, train the scorer; twice as many never
-    come together.
+    `train_rows` documents at most, chosen by a hash of the text, train the scorer. Copies of a text
+    are one row that counts as often, so whatever is copied, the same texts are chosen in any run.
     """
     texts = docs.select(F.col(text).alias("text"))
     counts = np.zeros(N_PATTERNS, np.int64)
@@ -192,8 +194,9 @@ def train(docs, text="text", train_rows=TRAIN_ROWS):
     posterior = estimate(counts)
     share = min(1.0, train_rows / max(int(counts.sum()), 1))
     chosen = texts.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
-    schema = "target double, bins array<long>, words array<long>, shares array<double>"
-    rows = chosen.mapInArrow(_examples(posterior), schema).limit(2 * train_rows).toArrow()
+    chosen = chosen.groupBy("text").agg(F.count("*").alias("copies")).withColumn("key", F.xxhash64("text"))
+    schema = "key long, copies long, target double, bins array<long>, words array<long>, shares array<double>"
+    rows = chosen.mapInArrow(_examples(posterior), schema).toArrow().sort_by("key")
     size = BUCKETS + len(SIGNALS) * BINS
     if not rows.num_rows:
         return np.zeros(size, np.float32), 0.0
@@ -205,7 +208,7 @@ def train(docs, text="text", train_rows=TRAIN_ROWS):
     owner = np.concatenate((np.repeat(np.arange(n), len(SIGNALS)), np.repeat(np.arange(n), per_row)))
     order = np.argsort(owner, kind="stable")
     target = rows.column("target").to_numpy()
-    weights, bias = fit(index[order], value[order], per_row + len(SIGNALS), target, size)
+    weights, bias = fit(index[order], value[order], per_row + len(SIGNALS), target, size, copies=rows.column("copies").to_numpy())
     return weights.astype(np.float32), float(bias)
 
 

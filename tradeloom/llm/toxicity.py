@@ -21,6 +21,7 @@ SIZE_BITS = 20
 SMOOTHING = 2.0
 LEAST_RATIO = 1.0  # smaller ratios, either way, are left out
 TRAIN_ROWS = 12_000
+LABELS = 400_000  # labels that train, at most; a broadcast of about 20 MB
 THRESHOLD = 0.3
 SEPARATORS = tb.byte_set((0x00, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7F))
 
@@ -88,11 +89,13 @@ def _rows_of_features(ratios):
             each = np.bincount(pair >> SIZE_BITS, minlength=n)
             yield pa.RecordBatch.from_arrays(
                 [
+                    rows.column("key"),
+                    rows.column("copies"),
                     pa.array(rows.column("toxic").cast(pa.float64())),
                     tb.lists(pair & ((1 << SIZE_BITS) - 1), each, pa.int64()),
                     tb.lists(times, each, pa.int64()),
                 ],
-                ["target", "features", "times"],
+                ["key", "copies", "target", "features", "times"],
             )
 
     return rows_of
@@ -119,8 +122,9 @@ def log_count_ratios(clean, toxic):
 
 
 def train(labelled, n_rows, train_rows=TRAIN_ROWS):
-    """(weights, bias) from `n_rows` rows (text, toxic). Counts cover all rows; about `train_rows` of them,
-    chosen by a hash of the text, fit the classifier, and twice as many never come together."""
+    """(weights, bias) from `n_rows` rows (text, toxic). Counts cover all rows; about `train_rows` of them at
+    most, chosen by a hash of the text, fit the classifier. Copies of a text with one label are one row that
+    counts as often, so the same texts are chosen in any run."""
     rows = labelled.filter("toxic is not null").select("text", F.col("toxic").cast("int").alias("toxic"))
     size = 1 << SIZE_BITS
     counted = rows.mapInArrow(_label_counts, "feature long, clean double, toxic double")
@@ -137,13 +141,14 @@ def train(labelled, n_rows, train_rows=TRAIN_ROWS):
     ratios = log_count_ratios(clean, toxic)
     share = int(min(1.0, train_rows / max(n_rows, 1)) * (1 << 20)) + 1
     chosen = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share)
-    sample = chosen.mapInArrow(_rows_of_features(ratios), "target double, features array<long>, times array<long>")
-    sample = sample.limit(2 * train_rows).toArrow()
+    chosen = chosen.groupBy("text", "toxic").agg(F.count("*").alias("copies")).withColumn("key", F.xxhash64("text", "toxic"))
+    schema = "key long, copies long, target double, features array<long>, times array<long>"
+    sample = chosen.mapInArrow(_rows_of_features(ratios), schema).toArrow().sort_by("key")
     features, times = (sample.column(c).combine_chunks() for c in ("features", "times"))
     index, counts = features.flatten().to_numpy(), np.diff(features.offsets.to_numpy())
     used, at = np.unique(index, return_inverse=True)
     value = times.flatten().to_numpy() * ratios[index]
-    fitted, bias = fit(at, value, counts, sample.column("target").to_numpy(), len(used), l2=1e-4)
+    fitted, bias = fit(at, value, counts, sample.column("target").to_numpy(), len(used), l2=1e-4, copies=sample.column("copies").to_numpy())
     weights = np.zeros(size)
     weights[used] = fitted * ratios[used]
     return weights.astype(np.float32), float(bias)
@@ -154,10 +159,21 @@ def held_out(id):
     return F.coalesce(F.pmod(F.crc32(id.cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
-def score_toxicity(docs, labels, id="doc_id", text="text", label="toxic", train_rows=TRAIN_ROWS):
+def bounded_labels(labels, most=LABELS):
+    """(labels, or those of about `most` ids chosen by a hash of the id; their number). Few enough to broadcast."""
+    n = labels.count()
+    if n <= most:
+        return labels, n
+    share = int(most / n * (1 << 20))
+    labels = labels.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < share)
+    return labels, labels.count()
+
+
+def score_toxicity(docs, labels, id="doc_id", text="text", label="toxic", train_rows=TRAIN_ROWS, most_labels=LABELS):
     """`docs` with held_out, score (0 to 1) and predicted (1 if score >= 0.3).
 
-    Labels are joined by id for training only; null ids and null labels train nothing, a label
+    Labels are joined by id for training only: all of them, or about `most_labels` chosen by a hash
+    of the id, so that they are broadcast and no text moves. Null ids and null labels train nothing, a label
     that repeats counts as often. Null and empty texts get the score of a text without features.
     With labels of one class only, or none, every score is 0.5. Rows that repeat get equal
     scores. The new columns replace columns of their name. An empty table gives an empty result.
@@ -165,7 +181,11 @@ def score_toxicity(docs, labels, id="doc_id", text="text", label="toxic", train_
     c = F.col
     training = docs.select(c(id).alias("id"), c(text).alias("text")).filter(~held_out(c("id")))
     marked = labels.select(c(id).alias("id"), c(label).alias("toxic")).filter(~held_out(c("id")))
-    weights, bias = train(training.join(marked, "id"), marked.filter("toxic is not null").count(), train_rows)
+    marked = stored(marked.filter("id is not null and toxic is not null").withColumn("toxic", c("toxic").cast("int")), "labels")
+    chosen, n = bounded_labels(marked, most_labels)
+    # An id of which more labels come than are bounded is shuffled; so many copies of a label are no sample.
+    chosen = F.broadcast(chosen) if n <= 2 * most_labels else chosen
+    weights, bias = train(training.join(chosen, "id"), n, train_rows)
     kept = docs.drop("score", "held_out", "predicted")
     schema = T.StructType([*kept.schema.fields, T.StructField("score", T.DoubleType())])
     scored = kept.mapInArrow(_scores(weights, bias, text), schema)
