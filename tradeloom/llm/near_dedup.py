@@ -21,7 +21,8 @@ from tradeloom.session import discard, stored
 WIDTH = 5
 PERCENT = 75
 BANDS, ROWS = 32, 4
-BLOCK = 1_000_000  # elements of the sets that are compared in one task, twice
+BLOCK = 400_000  # elements of the sets that are compared in one task, twice
+SLICE = 512 << 10  # bytes of text whose signatures are computed at once
 U64 = np.uint64
 
 
@@ -48,7 +49,7 @@ def super_minhash(elements, counts, slots=BANDS * ROWS):
 
 def _sets(part):
     """(slice, hashes of the distinct shingles, number per row) for each slice of (id, text)."""
-    for rows, data, offsets in tb.slices(part):
+    for rows, data, offsets in tb.slices(part, limit=SLICE):
         starts, ends, counts = tb.word_spans(data, offsets)
         shingles, counts = tb.shingle_hashes(tb.word_hashes(data, starts, ends), counts, WIDTH)
         yield rows, *tb.distinct_per_row(shingles, counts)
