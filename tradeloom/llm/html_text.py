@@ -7,6 +7,7 @@ tree, grown here from the small labelled table below, keeps the blocks of the ar
 
 import html
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -92,10 +93,10 @@ BOILER_NAMES = set(
 )
 MAIN_NAMES = {"article", "main", "content", "post", "entry", "story"}
 
-TOKEN = re.compile(
-    rf"(?is)<!--.*?(?:-->|\Z)|<({SKIPPED_TAGS})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-z][a-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|[^<]+|<"
-)
+SKIPPED = re.compile(rf"(?i)<({SKIPPED_TAGS})\b")
+# Possessive: what a tag has taken is not tried again.
+TAG = re.compile(r"""<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
+PLAIN_TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*+)>")
 # A name with one of these words says what an element has or does, not what it is.
 MODIFIERS = set("has have no not with without is are overflow backface show shows hide hides enable enabled disable disabled layout template".split())
 ATTRIBUTE = re.compile(r"""(?s)([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
@@ -127,64 +128,99 @@ def _hidden(attributes):
     return "hidden" in attributes or aria or bool(UNSEEN.search(attributes.get("style", "")))
 
 
+def tokens(page):
+    """(text, None) for text, and (tag, match) for tags, in one pass over the page.
+
+    Comments, declarations and elements that show no text are left out. A tag whose quotes never
+    close would take the rest of the page: from there on, tags end at their first >. What no > follows is text.
+    """
+    at, end, last, tag_pattern = 0, len(page), page.rfind(">"), TAG
+    while at < end:
+        if page[at] != "<":
+            stop = page.find("<", at)
+            stop = end if stop < 0 else stop
+            yield page[at:stop], None
+            at = stop
+            continue
+        if page.startswith("<!--", at):
+            stop = page.find("-->", at + 4)
+            at = end if stop < 0 else stop + 3
+            continue
+        found = None
+        if at <= last:
+            if page.startswith(("<!", "<?"), at):
+                at = page.find(">", at) + 1
+                continue
+            found = tag_pattern.match(page, at)
+            if found is None and tag_pattern is TAG and PLAIN_TAG.match(page, at):
+                tag_pattern = PLAIN_TAG
+                found = tag_pattern.match(page, at)
+        if found is None:
+            yield "<", None
+            at += 1
+            continue
+        at = found.end()
+        if skipped := SKIPPED.match(found.group(0)):
+            close = re.compile(rf"(?i)</{skipped.group(1)}\s*>").search(page, at)
+            at = close.end() if close else end
+            continue
+        yield found.group(2).lower(), found
+
+
 def blocks(page):
     """Flat blocks of a page, in order: (text, words, link words, article, boiler_tag, boiler_name, heading)."""
     out, parts, linked, heading = [], [], [], False
-    stack = []  # open containers: (tag, opens an article, boiler tag, boiler name)
-    anchors = 0
+    # Open containers: (tag, within an article, within a boiler tag, within a boiler name); each
+    # row holds what its ancestors are too. The number of open containers by tag is kept beside it.
+    stack, open_tags = [(None, False, False, False)], Counter()
+    anchors, paragraph = 0, False  # paragraph: an open <p> that is boilerplate by its name
 
     def flush():
         nonlocal parts, linked
         text = re.sub(r"\s+", " ", "".join(parts)).strip()
         if text:
-            article = any(x[1] for x in stack)
-            out.append(
-                (text, len(text.split()), len("".join(linked).split()), article, any(x[2] for x in stack), any(x[3] for x in stack), heading)
-            )
+            _, article, boiler, named = stack[-1]
+            out.append((text, len(text.split()), len("".join(linked).split()), article, boiler, named or paragraph, heading))
         parts, linked = [], []
 
-    for token in TOKEN.finditer(page):
-        tag = token.group(3)
-        if tag is None:
-            piece = token.group(0)
-            if token.group(1) or (piece[0] == "<" and len(piece) > 1):
-                continue
-            piece = html.unescape(piece)
+    for tag, found in tokens(page):
+        if found is None:
+            piece = html.unescape(tag)
             parts.append(piece)
             if anchors:
                 linked.append(piece + " ")
             continue
-        tag, closing, attributes = tag.lower(), bool(token.group(2)), token.group(4)
+        closing, attributes = bool(found.group(1)), found.group(3)
         if tag == "br":
             parts.append(" ")
         elif tag == "a":
             anchors = max(anchors - 1, 0) if closing else anchors + 1
         elif tag in BLOCK_TAGS:
             flush()
-            anchors = 0
+            anchors, paragraph = 0, False
             heading = tag in HEADINGS and not closing
-            if tag == "p" or tag in VOID or tag in HEADINGS or attributes.rstrip().endswith("/"):
-                if tag == "p" and not closing:
-                    stack[:] = [x for x in stack if x[0] != "p"]
+            if tag == "p":
+                if not closing:
                     given = _attributes(attributes)
-                    if _names(given) & BOILER_NAMES or _hidden(given):
-                        stack.append(("p", False, False, True))
-                elif tag == "p":
-                    stack[:] = [x for x in stack if x[0] != "p"]
+                    paragraph = bool(_names(given) & BOILER_NAMES) or _hidden(given)
+                continue
+            if tag in VOID or tag in HEADINGS or attributes.rstrip().endswith("/"):
                 continue
-            stack[:] = [x for x in stack if x[0] != "p"]
             if closing:
-                at = max((k for k, x in enumerate(stack) if x[0] == tag), default=None)
-                if at is not None:
-                    del stack[at:]
+                while open_tags[tag]:
+                    top = stack.pop()[0]
+                    open_tags[top] -= 1
+                    if top == tag:
+                        break
                 continue
             given = _attributes(attributes)
             names = _names(given)
-            inside = any(x[1] for x in stack)
+            _, inside, in_boiler, in_named = stack[-1]
             main = tag in ("article", "main") or bool(names & MAIN_NAMES and not names & BOILER_NAMES)
             boiler = tag in BOILER_TAGS or (tag == "header" and not inside)
             named = bool(names & (BOILER_NAMES if inside else BOILER_NAMES | {"header"})) and tag not in ("html", "body", "article", "main")
-            stack.append((tag, main, boiler, named or _hidden(given)))
+            stack.append((tag, inside or main, in_boiler or boiler, in_named or named or _hidden(given)))
+            open_tags[tag] += 1
     flush()
     return out
 
@@ -226,7 +262,7 @@ def decide(tree, row):
 
 
 def labelled_blocks():
-    """The labelled table, and blocks whose place alone tells what they are, in varied neighbourhoods."""
+    """The labelled table, and blocks in varied neighbourhoods whose place, or whose words and links, tell what they are."""
     rows = [[float(x) for x in line.split()] for line in LABELLED.strip().splitlines()]
     neighbours = [(0, 3), (5, 60), (60, 5), (60, 60), (3, 0), (20, 20)]
     for before, after in neighbours:
@@ -237,6 +273,13 @@ def labelled_blocks():
                 rows.append([words, 0.9, before, 0.5, after, 0.5, 0, 0, 0, 0, 0])
             else:
                 rows.append([words, 0.0, before, 0.0, after, 0.0, 0, 0, 0, 0, int(min(before, after) >= 20)])
+        # Where no tag or name tells: prose has few links whatever stands beside it, lists of links have many.
+        for before_links in (0.0, 0.2, 1.0):
+            for after_links in (0.0, 0.2, 1.0):
+                for words in (2, 5, 9, 20, 45):
+                    rows += [[words, links, before, before_links, after, after_links, 0, 0, 0, 0, 0] for links in (0.6, 1.0)]
+                    if words >= 20:
+                        rows += [[words, links, before, before_links, after, after_links, 0, 0, 0, 0, 1] for links in (0.0, 0.1, 0.3)]
         for words in (2, 6, 15, 40):
             for article in (0, 1):
                 for tag, name in ((1, 0), (0, 1), (1, 1)):
