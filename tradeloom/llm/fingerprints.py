@@ -6,8 +6,9 @@ compared without reading them and the longest common extension of two positions
 binary search. A fingerprint is the hash of the whole text and a grid of prefix and suffix
 hashes; the common beginning and end of two texts are located in the grids by binary search.
 It also has prefix hashes at cuts that follow from the content, so that equal spans are found
-behind an edit and aligned in order. `common_extension` needs both prefix arrays and serves
-texts at hand; `likeness` works on fingerprints alone and rounds edits up to whole spans.
+behind an edit and aligned in order. `likeness` works on fingerprints alone and rounds edits up
+to whole spans; what neighbours have in common at their beginning and end is also located exactly,
+by binary search on both prefix arrays (`common_extension`, `common_ending`).
 """
 
 import hashlib
@@ -62,18 +63,42 @@ class Prefixes:
         return found
 
 
-def common_extension(a, i, b, j):
-    """Length of the longest common run of `a` from i and `b` from j."""
-    low, high = 0, min(a.n - i, b.n - j)
+    def agrees(self, start, other, at, size):
+        """Whether `size` characters from `start` equal those of `other` from `at`; the earlier place is shifted to the later."""
+        for k, prime in enumerate(PRIMES):
+            own = int(self.sums[k, start + size]) - int(self.sums[k, start])
+            that = int(other.sums[k, at + size]) - int(other.sums[k, at])
+            if start < at:
+                own *= int(other.powers[k, at - start])
+            elif at < start:
+                that *= int(self.powers[k, start - at])
+            if (own - that) % prime:
+                return False
+        return True
+
+
+def _longest(most, agrees):
+    """Largest n up to `most` for which `agrees(n)` holds; it holds for all smaller ones too."""
+    low, high = 0, most
     while low < high:
         middle = (low + high + 1) // 2
-        if a.span(i, i + middle) == b.span(j, j + middle):
+        if agrees(middle):
             low = middle
         else:
             high = middle - 1
     return low
 
 
+def common_extension(a, i, b, j):
+    """Length of the longest common run of `a` from i and `b` from j."""
+    return _longest(min(a.n - i, b.n - j), lambda n: a.agrees(i, b, j, n))
+
+
+def common_ending(a, b):
+    """Length of the longest common end of two texts."""
+    return _longest(min(a.n, b.n), lambda n: a.agrees(a.n - n, b, b.n - n, n))
+
+
 def step_of(n):
     """Grid distance: the power of two that leaves at most GRID points."""
     step = 1
@@ -103,13 +128,16 @@ def cuts(p):
 
 
 def fingerprint(text):
+    return fingerprint_of(Prefixes(text))
+
+
+def fingerprint_of(p):
     """'length-hash-prefixes-suffixes-cuts' in hexadecimal; equal texts have equal fingerprints.
 
     The prefix part has the hashes of the beginnings of step, 2 * step, ... characters, the
     suffix part those of the ends; step follows from the length. A cut is its place, its level
     and the hash of the beginning up to it (8, 1 and 8 digits).
     """
-    p = Prefixes(text)
     lengths = np.arange(step_of(p.n), p.n + 1, step_of(p.n))
     first = p.sums[0, lengths] if len(lengths) else lengths
     last = [p.span(p.n - int(x), p.n) % PRIMES[1] for x in lengths]
@@ -207,6 +235,9 @@ RESULT = T.StructType(
         T.StructField("edited_fingerprint", T.StringType()),
         T.StructField("near_edited", T.DoubleType()),
         T.StructField("near_next", T.DoubleType()),
+        T.StructField("start_edited", T.LongType()),
+        T.StructField("start_next", T.LongType()),
+        T.StructField("end_next", T.LongType()),
     ]
 )
 
@@ -218,18 +249,20 @@ def _rows(part):
         out = []
         for block, guest, id, text in zip(*(batch.column(c).to_pylist() for c in ("block", "guest", "id", "text"))):
             text = text or ""
-            own = fingerprint(text)
+            prefixes = Prefixes(text)
+            own = fingerprint_of(prefixes)
             if previous and previous[0] == block and not previous[1]:
-                out.append(_result(previous, own, text))
-            previous = (block, guest, id, text, own)
+                out.append(_result(previous, own, text, prefixes))
+            previous = (block, guest, id, text, own, prefixes)
         yield pa.RecordBatch.from_pylist(out, schema=ARROW)
     yield pa.RecordBatch.from_pylist([], schema=ARROW)
 
 
-def _result(previous, following, next_text):
-    _, _, id, text, own = previous
+def _result(previous, following, next_text, next_prefixes):
+    _, _, id, text, own, prefixes = previous
     changed = edited(text, next_text)
-    other = fingerprint(changed)
+    changed_prefixes = Prefixes(changed)
+    other = fingerprint_of(changed_prefixes)
     return {
         "doc_id": id,
         "n_chars": len(text),
@@ -238,6 +271,9 @@ def _result(previous, following, next_text):
         "edited_fingerprint": other,
         "near_edited": likeness(own, other),
         "near_next": likeness(own, following),
+        "start_edited": common_extension(prefixes, 0, changed_prefixes, 0),
+        "start_next": common_extension(prefixes, 0, next_prefixes, 0),
+        "end_next": common_ending(prefixes, next_prefixes),
     }
 
 
@@ -250,12 +286,18 @@ ARROW = pa.schema(
         ("edited_fingerprint", pa.string()),
         ("near_edited", pa.float64()),
         ("near_next", pa.float64()),
+        ("start_edited", pa.int64()),
+        ("start_next", pa.int64()),
+        ("end_next", pa.int64()),
     ]
 )
 
 
 def fingerprint_documents(docs, id="doc_id", text="text", blocks=None):
-    """One row per document: its fingerprint and that of its edited text (see `edited`).
+    """One row per document: its fingerprint and that of its edited text (see `edited`), the likeness of both and of the
+    next document's, and how many characters it begins with like the edited text (start_edited) and begins
+    and ends with like the next one (start_next, end_next). Texts of any length are hashed whole; other
+    columns of `docs` are ignored.
 
     The following document is the next by ascending (id, text), null ids first; the last one is
     followed by the first. Null texts are empty. Rows that repeat are documents of their own.

@@ -119,7 +119,8 @@ def near_duplicates(docs, id="doc_id", text="text", percent=PERCENT):
     texts have no shingles and no links. Texts are linked when 100 * intersection >= percent *
     union of the sets; component_id is the smallest id reachable, kept marks id = component_id.
     Rows that share an id are one node with a result row each. Rows without id have links with
-    nothing: component_id null, kept true. An empty table gives an empty result.
+    nothing: component_id null, kept true. Texts of any length are compared whole; other columns are
+    ignored. An empty table gives an empty result.
     """
     narrow = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
     schema = "id long, n long, set_a long, set_b long, bands array<long>"
