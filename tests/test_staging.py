@@ -89,6 +89,39 @@ def test_refresh_touches_only_buckets_of_the_load(spark, tmp_path):
     assert pipeline.refresh_features(spark, root, 4)[1] == []
 
 
+def test_sizes_are_counted_while_loading(spark, table):
+    from tradeloom.operators.staging import large_accounts
+
+    load(trade_frame(spark, [buy(k, k) for k in range(5)] + [buy(9, 1, account=2)]), table)
+    load(trade_frame(spark, [buy(4, 8), buy(5, 1), buy(6, 1)]), table)
+    sizes = lambda n: [r.account_nr for r in large_accounts(spark, table, n).collect()]
+    assert sizes(6) == [1] and sizes(7) == [] and sorted(sizes(0)) == [1, 2]
+
+
+def test_refresh_of_large_accounts(spark, tmp_path):
+    from tradeloom.operators.staging import refresh
+
+    table = pipeline.trade_staging(str(tmp_path), 4)
+    load(trade_frame(spark, [buy(k, k - 20, day=1 + k % 5) for k in range(40)] + [buy(99, 1, account=2)]), table)
+    both = [refresh(spark, table, TRADE_SCHEMA, trade_features, f"{tmp_path}/f{n}", n)[0] for n in (10, 1000)]
+    columns = both[0].columns
+    assert sorted(map(repr, both[0].collect())) == sorted(map(repr, both[1].select(*columns).collect()))
+
+
+def test_features_read_the_lines_once(spark, monkeypatch):
+    """Footers say that no account can be large: the lines are not counted before they are read."""
+    from tradeloom.operators import skew
+    from tradeloom.sources import driver_tables as tables
+
+    def counted(*_):
+        raise AssertionError("the lines are read to count them")
+
+    monkeypatch.setattr(skew, "hot_keys", counted)
+    assert trade_features(tables.latest_ledger(spark, "/root/testdata/sf0.001")).count() == 4599
+    with pytest.raises(AssertionError, match="read to count"):
+        tables.latest_ledger(spark, "/root/testdata/sf0.001", hot_rows=100)
+
+
 def test_account_selection_reads_fewer_files(spark, table):
     load(trade_frame(spark, [buy(k, k, account=k) for k in range(1, 60)]), table)
     rows = all_versions(spark, table, TRADE_SCHEMA)

@@ -128,9 +128,12 @@ def _hot(rows):
     )
 
 
-def trade_features(trades):
-    """All ledger rows with their features; takes trades or an already split ledger."""
-    ledger = trades if isinstance(trades, Ledger) else split_ledger(trades)
+def trade_features(trades, hot=None, most_rows=None):
+    """All ledger rows with their features; takes trades or an already split ledger.
+
+    hot, most_rows: what is known about the accounts' sizes, see `skew.found_hot`.
+    """
+    ledger = trades if isinstance(trades, Ledger) else split_ledger(trades, hot=hot, most_rows=most_rows)
     rows = ledger.map(_row_features).combine(_ordinary, _hot)
     c = F.col
     return rows.withColumns(

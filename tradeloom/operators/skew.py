@@ -29,26 +29,40 @@ def hot_keys(df, key, hot_rows=HOT_ROWS):
     return df.groupBy(key).count().filter(F.col("count") > hot_rows).select(key)
 
 
-def split_hot(df, key, hot_rows=HOT_ROWS):
+def found_hot(df, key, hot_rows, hot=None, most_rows=None):
+    """Hot keys as a frame, or None when there are none, by the cheapest way there is.
+
+    hot:       keys that are known to be hot already, from counts kept beside a stored table.
+    most_rows: how many rows a key can have at most, where that is known without reading `df`, for
+               instance the row count in the footers of the files; few enough, and nothing is read.
+    Without either the keys of `df` are counted, which reads those columns once more.
+    """
+    if hot is None and most_rows is not None and most_rows <= hot_rows:
+        return None
+    hot = hot_keys(df, key, hot_rows) if hot is None else hot
+    return None if hot.isEmpty() else hot
+
+
+def split_hot(df, key, hot_rows=HOT_ROWS, hot=None, most_rows=None):
     """(rows of ordinary keys, rows of hot keys or None when there are none).
 
-    One small job looks for hot keys first, so that ordinary data gets the plain plan. The
-    broadcast list is bounded by rows / hot_rows: 10**12 rows give at most 500,000 keys.
+    Ordinary data gets the plain plan. The broadcast list is bounded by rows / hot_rows: 10**12
+    rows give at most 500,000 keys. See `found_hot`.
     """
-    hot = hot_keys(df, key, hot_rows)
-    if hot.isEmpty():
+    hot = found_hot(df, key, hot_rows, hot, most_rows)
+    if hot is None:
         return df, None
     listed = F.broadcast(hot)
     return df.join(listed, key, "left_anti"), df.join(listed, key, "left_semi")
 
 
-def join_lookup(rows, lookup, key, hot_rows=HOT_ROWS, how="inner"):
+def join_lookup(rows, lookup, key, hot_rows=HOT_ROWS, how="inner", most_rows=None):
     """Inner or left join with a table of one row per key, where few keys may hold most rows.
 
     Lookup rows of hot keys are broadcast; they are as few as the hot keys themselves.
     """
-    hot = hot_keys(rows, key, hot_rows)
-    if hot.isEmpty():
+    hot = found_hot(rows, key, hot_rows, most_rows=most_rows)
+    if hot is None:
         return rows.join(lookup, key, how)
     listed = F.broadcast(hot)
     ordinary = rows.join(listed, key, "left_anti").join(lookup, key, how)
@@ -78,13 +92,13 @@ class Ledger(NamedTuple):
         return self.ordinary if self.hot is None else self.ordinary.unionByName(self.hot)
 
 
-def split_ledger(rows, row_order=None, hot_rows=HOT_ROWS):
+def split_ledger(rows, row_order=None, hot_rows=HOT_ROWS, hot=None, most_rows=None):
     """Partition rows by account, hot accounts apart; keep the last copy of each ticket.
 
     Copies are dropped when `row_order` names the column that ranks them. For ordinary
     accounts that takes no shuffle of its own: the account partitioning serves both.
     """
-    ordinary, hot = split_hot(rows, "account_nr", hot_rows)
+    ordinary, hot = split_hot(rows, "account_nr", hot_rows, hot, most_rows)
     ledger = Ledger(ordinary.repartition("account_nr"), hot)
     if row_order:
         ledger = ledger.map(lambda part: dedupe_last(part, row_order).drop(row_order))

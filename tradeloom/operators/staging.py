@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tradeloom.operators.skew import HOT_ROWS
+
 LOAD, BUCKET, THROUGH = "load_nr", "account_bucket", "through_load"
 BUCKETS = 64
 
@@ -100,9 +102,18 @@ def load(fresh, table):
     if not counts.get("new", 0) + counts.get("changed", 0):
         return None, counts
     clustered(news, table).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{table.path.rstrip('/')}/{LOAD}={number}")
+    # Keys of an account never go away, so its size is the sum of what loads have added.
+    added = states.filter("state = 'new'").groupBy(F.col(f"fresh.{table.account}").alias(table.account)).agg(F.count("*").alias("n"))
+    added.write.mode("overwrite").parquet(f"{table.path.rstrip('/')}-sizes/{LOAD}={number}")
     return number, counts
 
 
+def large_accounts(spark, table, hot_rows):
+    """Accounts with more than `hot_rows` keys, from the counts that loads keep; the table is not read."""
+    sizes = spark.read.parquet(f"{table.path.rstrip('/')}-sizes").groupBy(table.account).agg(F.sum("n").alias("n"))
+    return sizes.filter(F.col("n") > hot_rows).select(table.account)
+
+
 def current(spark, table, schema, accounts=None):
     """The table as readers see it: one row per key. `accounts` selects some before anything is read."""
     versions = all_versions(spark, table, schema)
@@ -122,16 +133,17 @@ def of_accounts(rows, table, accounts):
     return rows.filter(wanted & F.col(table.account).isin(*literal))
 
 
-def refresh(spark, table, schema, derive, path):
+def refresh(spark, table, schema, derive, path, hot_rows=HOT_ROWS):
     """Stored derived rows of the table, made again for the buckets that changed since they were made.
 
-    derive: rows of whole accounts to their derived rows (per-trade features, for instance), which
-    keep the account column. Each derived row carries the last load of its bucket, so a refresh that
+    derive: rows of whole accounts, and the accounts that are large (`large_accounts`), to derived
+    rows (per-trade features, for instance), which keep the account column. Each derived row carries the last load of its bucket, so a refresh that
     failed, or never ran, is made up for by the next one; other buckets keep their files.
     """
     versions = all_versions(spark, table, schema)
     loads = versions.groupBy(BUCKET).agg(F.max(LOAD).alias("due"))  # partition values alone
-    derived = derive(versions.select(*table.columns))
+    large = large_accounts(spark, table, hot_rows)
+    derived = derive(versions.select(*table.columns).limit(0), large)
     kept = derived.schema.add(THROUGH, T.LongType()).add(BUCKET, T.IntegerType())
     try:
         made = spark.read.schema(kept).parquet(path)
@@ -142,7 +154,7 @@ def refresh(spark, table, schema, derive, path):
         due = loads
     due = {r[0]: r[1] for r in due.select(BUCKET, "due").collect()}  # at most `buckets` entries
     if due:
-        rows = derive(last_versions(versions.filter(F.col(BUCKET).isin(list(due))), table).select(*table.columns))
+        rows = derive(last_versions(versions.filter(F.col(BUCKET).isin(list(due))), table).select(*table.columns), large)
         rows = clustered(rows, table).withColumn(THROUGH, F.lit(max(due.values())).cast("long"))
         rows.write.partitionBy(BUCKET).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
     return spark.read.schema(kept).parquet(path).drop(BUCKET, THROUGH), sorted(due)

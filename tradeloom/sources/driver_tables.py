@@ -49,10 +49,15 @@ def latest_ledger(spark, sf_dir, hot_rows=HOT_ROWS):
     """The last copy of each ticket, split by account size.
 
     Trades are derived after the shuffle: fewer and narrower columns travel, and only the
-    copies that stay are computed.
+    copies that stay are computed. No account can have more rows than the files' footers say.
     """
     lines = order_lines(spark, sf_dir).withColumn("ranked", F.col("row_order"))
-    return split_ledger(lines, "ranked", hot_rows).map(lines_to_trades)
+    return split_ledger(lines, "ranked", hot_rows, most_rows=line_count(spark, sf_dir)).map(lines_to_trades)
+
+
+def line_count(spark, sf_dir):
+    """Rows of the order lines, from the footers of their files."""
+    return read_table(spark, sf_dir, "lineitem").count()
 
 
 def latest_trades(spark, sf_dir):
