@@ -90,7 +90,11 @@ def bucket_components(buckets, nodes, verify, rounds=2, across=None):
 
     Ends as soon as no bucket holds different groups. Tables are removed after their last reader.
     """
-    several = buckets.groupBy("bucket").count().filter("count > 1").select("bucket")
+    # Nodes that are alike share many buckets: of buckets with the same members one is enough. Members
+    # are told by their number and 128 bits of their hashes.
+    sums = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"x{k}") for k in (1, 2)]
+    several = buckets.groupBy("bucket").agg(F.count("*").alias("n"), *sums).filter("n > 1")
+    several = several.groupBy("n", "x1", "x2").agg(F.min("bucket").alias("bucket")).select("bucket")
     found = stored(buckets.join(several, "bucket", "left_semi"), "shared-buckets")
     # Only nodes that share a bucket carry their columns along.
     member = F.struct("node", *[c for c in nodes.columns if c != "node"])
