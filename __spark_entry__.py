@@ -130,6 +130,12 @@ def _export_gold(spark, d):
     return gold.read_manifest(spark, folder).select("view_name", "n_rows")
 
 
+def _export_order(spark, d):
+    folder = scratch_path(spark, "gold")
+    gold.export_gold(_gold(spark, d), folder)
+    return gold.file_order(spark, folder)
+
+
 def _exported(name):
     """A view read back from the exported files."""
 
@@ -286,6 +292,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "delta_upsert": _delta(delta_upsert),
         "validate_staging": lambda s, d: validate_staging(tables.flawed_trades(s, d), tables.flawed_accounts(s, d)),
         "export_gold": _export_gold,
+        "export_order": _export_order,
         "exported_trades": _exported("trade_history"),
         "exported_dates": _exported("dim_date"),
         "staged_trades": _staged_trades,

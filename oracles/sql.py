@@ -632,6 +632,10 @@ union all select 'trade_history', 'unique', 'ticket', count(*) from (select tick
 union all select 'dim_account', 'unique', 'account_number', count(*) from (select account_number from flawed_accounts where account_number is not null group by 1 having count(*) > 1)
 union all select 'trade_history', 'foreign_key', 'account_nr', count(*) from flawed
   where account_nr not in (select account_number from flawed_accounts where account_number is not null)""",
+        "export_order": f"""{with_(BASE, DATES)}, sizes as (
+select 'trade_history' as view_name, count(*) as n_rows from trades where type in ('buy', 'sell')
+union all select 'dim_account_info', count(*) from accounts union all select 'dim_date', count(*) from dim_date
+union all select 'dim_clock', 86400) select view_name, n_rows, n_rows as n_in_order from sizes""",
         "exported_trades": history,
         "exported_dates": dates,
         "staged_trades": f"{with_(BASE, staged)} select {trades}, cast(load_nr as bigint) as load_nr, cast(n_versions as bigint) as n_versions from staged3",

@@ -214,6 +214,7 @@ def test_a_failed_export_leaves_the_old_one(spark, tmp_path, monkeypatch):
         gold.export_gold({"dim_account_info": broken}, folder)
     back = gold.read_export(spark, folder)["dim_account_info"]
     assert [tuple(r) for r in back.collect()] == [(1, "a, \"b\""), (2, "b")]
+    assert [tuple(r)[1:] for r in gold.file_order(spark, folder).collect()] == [(2, 2)]
     (path,) = [r.path for r in gold.read_manifest(spark, folder).collect()]
     for f in os.listdir(path):
         if f.endswith(".csv"):
@@ -224,3 +225,11 @@ def test_a_failed_export_leaves_the_old_one(spark, tmp_path, monkeypatch):
             os.remove(f"{path}/{f}")
     with pytest.raises(ValueError, match="not what was exported"):
         gold.read_export(spark, folder)
+
+
+def test_rows_out_of_order_are_found(spark, tmp_path, monkeypatch):
+    view = spark.createDataFrame([(2, "b"), (1, "a"), (3, "c")], "account_number long, account_name string").coalesce(1)
+    monkeypatch.setitem(gold.SORT_COLUMNS, "dim_account_info", [])
+    gold.export_gold({"dim_account_info": view}, str(tmp_path))
+    monkeypatch.setitem(gold.SORT_COLUMNS, "dim_account_info", ["account_number"])
+    assert [tuple(r)[1:] for r in gold.file_order(spark, str(tmp_path)).collect()] == [(3, 2)]

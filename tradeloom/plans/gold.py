@@ -4,6 +4,7 @@ import time
 import uuid
 from functools import reduce
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tradeloom.operators.dims import dim_account, dim_clock, dim_date
@@ -105,3 +106,21 @@ def read_export(spark, folder, verify=True):
                 raise ValueError(f"{r.view_name} at {r.path} is not what was exported")
         found[r.view_name] = df
     return found
+
+
+def file_order(spark, folder):
+    """Per exported view the rows, and those that do not come before their predecessor in the same file."""
+    found = []
+    for r in read_manifest(spark, folder).collect():
+        rows = spark.read.schema(r.columns).option("header", True).csv(r.path)
+        rows = rows.select(
+            "_metadata.file_path",
+            "_metadata.file_block_start",  # a split of a file is read by one task, from top to bottom
+            F.monotonically_increasing_id().alias("line"),
+            F.struct(*SORT_COLUMNS[r.view_name]).alias("key"),
+        )
+        split = Window.partitionBy("file_path", "file_block_start").orderBy("line")
+        rows = rows.withColumn("before", F.lag("key").over(split))
+        in_order = F.count_if(F.col("before").isNull() | (F.col("before") <= F.col("key")))
+        found.append(rows.agg(F.count("*").alias("n_rows"), in_order.alias("n_in_order")).withColumn("view_name", F.lit(r.view_name)))
+    return reduce(lambda a, b: a.unionByName(b), found).select("view_name", "n_rows", "n_in_order")

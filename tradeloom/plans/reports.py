@@ -1,5 +1,6 @@
 """Datasets behind the report charts, risk lists and the star-schema report."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tradeloom.functions.columns import float_round
@@ -42,32 +43,34 @@ def duration_histogram(features, last_day=None, bins=HISTOGRAM_BINS):
     """
     days = daily_main(features, last_day, empty_days="count").select("account_nr", "minutes_spent", "empty_days_after")
     c = F.col
-    limits = days.groupBy("account_nr").agg(
-        F.min(F.when(c("empty_days_after") > 0, F.least("minutes_spent", F.lit(0.0))).otherwise(c("minutes_spent"))).alias("lo"),
-        F.max(F.when(c("empty_days_after") > 0, F.greatest("minutes_spent", F.lit(0.0))).otherwise(c("minutes_spent"))).alias("hi"),
-        F.sum("empty_days_after").alias("n_empty"),
-        # An account has at most one row per calendar day here.
-        F.collect_list("minutes_spent").alias("minutes"),
-    )
-    limits = limits.withColumns(
+    # A row per trading day of an account, in the partitioning that the daily table has already.
+    account = Window.partitionBy("account_nr")
+    zero = F.when(c("empty_days_after") > 0, 0.0)
+    days = days.withColumns(
         {
-            "lo": F.when(c("lo") == c("hi"), c("lo") - 0.5).otherwise(c("lo")),
-            "hi": F.when(c("lo") == c("hi"), c("hi") + 0.5).otherwise(c("hi")),
+            "lo": F.min(F.least("minutes_spent", F.coalesce(zero, "minutes_spent"))).over(account),
+            "hi": F.max(F.greatest("minutes_spent", F.coalesce(zero, "minutes_spent"))).over(account),
         }
     )
+    flat = c("lo") == c("hi")
+    days = days.withColumns({"lo": F.when(flat, c("lo") - 0.5).otherwise(c("lo")), "hi": F.when(flat, c("hi") + 0.5).otherwise(c("hi"))})
     bin_of = lambda x: F.least(F.width_bucket(x, c("lo"), c("hi"), F.lit(bins)), F.lit(bins).cast("long"))
+    binned = days.withColumns({"own": bin_of(c("minutes_spent")), "empty": bin_of(F.lit(0.0))})
+    counts = [
+        F.count_if(c("own") == b) + F.sum(F.when(c("empty") == b, c("empty_days_after")).otherwise(0)) for b in range(1, bins + 1)
+    ]
     width = (c("hi") - c("lo")) / bins
-    return limits.select("*", F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin")).select(
-        "account_nr",
-        "bin",
-        (c("lo") + width * (c("bin") - 1)).alias("bin_start"),
-        (c("lo") + width * c("bin")).alias("bin_end"),
-        (
-            F.size(F.filter("minutes", lambda x: bin_of(x) == c("bin")))
-            + F.when(bin_of(F.lit(0.0)) == c("bin"), c("n_empty")).otherwise(0)
+    return (
+        binned.groupBy("account_nr", "lo", "hi")
+        .agg(F.array(*counts).alias("counts"))
+        .select("account_nr", "lo", "hi", F.posexplode("counts").alias("place", "days"))
+        .select(
+            "account_nr",
+            (c("place") + 1).alias("bin"),
+            (c("lo") + width * c("place")).alias("bin_start"),
+            (c("lo") + width * (c("place") + 1)).alias("bin_end"),
+            c("days").cast("long").alias("days"),
         )
-        .cast("long")
-        .alias("days"),
     )
 
 
@@ -135,30 +138,22 @@ def clock_activity(trades, clock):
 def star_report(history, accounts, days, clock):
     """Trades, wins and net profit by currency, quarter and part of day.
 
-    Calendar and clock are broadcast (one row per day, 86,400 rows). Accounts grow with the
-    data, so trades are reduced per account before that join.
+    The clock has 86,400 rows and is broadcast. Trades are reduced per account, day and part of day
+    before they meet the calendar, and per account and quarter before they meet the accounts: both
+    grow with the data (one bad date makes a long calendar), so Spark picks those joins by size.
     """
     days = days.select("date_key", "cal_year", "cal_quarter")
     clock = clock.select("clock", "part_of_day")
-    keys = ["account_nr", "cal_year", "cal_quarter", "part_of_day"]
-    per_account = (
+    measures = lambda n, won: [n.alias("trades"), won.alias("trades_won"), F.sum("net_profit").alias("net_profit")]
+    again = measures(F.sum("trades"), F.sum("trades_won"))
+    per_day = (
         history.select("account_nr", "open_date_key", "open_time", "trade_won", "net_profit")
-        .join(F.broadcast(days), F.col("open_date_key") == days.date_key, "left")
         .join(F.broadcast(clock), F.col("open_time") == clock.clock, "left")
-        .groupBy(*keys)
-        .agg(
-            F.count("*").alias("trades"),
-            F.count_if(F.col("trade_won") == 1).alias("trades_won"),
-            F.sum("net_profit").alias("net_profit"),
-        )
+        .groupBy("account_nr", "open_date_key", "part_of_day")
+        .agg(*measures(F.count("*"), F.count_if(F.col("trade_won") == 1)))
     )
+    keys = ["cal_year", "cal_quarter", "part_of_day"]
+    per_account = per_day.join(days, F.col("open_date_key") == days.date_key, "left").groupBy("account_nr", *keys).agg(*again)
     names = dim_account(accounts).select("account_number", "currency_name")
-    return (
-        per_account.join(names, F.col("account_nr") == names.account_number, "left")
-        .groupBy("currency_name", *keys[1:])
-        .agg(
-            F.sum("trades").alias("trades"),
-            F.sum("trades_won").alias("trades_won"),
-            F.sum("net_profit").cast("double").alias("net_profit"),
-        )
-    )
+    found = per_account.join(names, F.col("account_nr") == names.account_number, "left").groupBy("currency_name", *keys).agg(*again)
+    return found.withColumn("net_profit", F.col("net_profit").cast("double"))
