@@ -147,3 +147,11 @@ def test_weekday_amounts_cover_gaps(features):
 def test_risk_lists(features):
     for name, column in reports.RISK_FLAGS.items():
         assert reports.risk_list(features, name).count() == features.filter(f"{column} = 1").count()
+
+
+def test_join_in_short_equals_the_join_of_full_tables(features):
+    tables = lambda how: [cubes.daily_summary(features, empty_days=how), *(cubes.daily_side(features, w, empty_days=how) for w in ("long", "short"))]
+    short = cubes.join_summaries(*tables("count"))
+    got = cubes.with_empty_days(short, DAILY_SUMMARY + side_measures("long") + side_measures("short"))
+    want = cubes.join_summaries(*tables("rows"))
+    assert got.columns == want.columns and rows(got) == rows(want)
