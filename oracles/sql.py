@@ -613,7 +613,8 @@ from spine s left join summary_rows r on r.account_nr = s.account_nr and r.day =
         "row_identity": f"""{with_(BASE)} select distinct account_nr, ticket, type, symbol, open_date_key,
   concat_ws('-;-', account_nr, ticket, type, coalesce(symbol, '<null>'), open_date_key) as delta_id from raw""",
         "csv_roundtrip": f"{with_(BASE)} select {trades} from trades",
-        "delta_append": f"{with_(BASE, SNAPSHOT_CTES)} select {trades} from (select * from source except select * from target)",
+        "delta_append": f"""{with_(BASE, SNAPSHOT_CTES)}
+select {trades} from (select {", ".join(TRADE_COLUMNS)} from trades except select * from target)""",
         "delta_stale": f"{with_(BASE, SNAPSHOT_CTES)} select {trades} from (select * from target except select * from source)",
         "delta_upsert": f"""{with_(BASE, SNAPSHOT_CTES)} select {trades} from source
 union all select {trades} from target where (account_nr, ticket) not in (select (account_nr, ticket) from source)""",

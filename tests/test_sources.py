@@ -198,3 +198,10 @@ def test_dim_date_is_gap_free(spark):
     assert (leap["quarter_ending"], leap["week_of_month"], leap["day_name"], leap["week_day_num"]) == ("032024", "wk5", "Thu", 5)
     calendar = dims.calendar(dims.trade_day_bounds(trades, "2024-03-02"), "day_of_trade", True)
     assert calendar.filter("is_leap_year").count() == 62 and calendar.columns[0] == "day_of_trade"
+
+
+def test_append_takes_every_ticket(spark):
+    import __spark_entry__ as entry
+
+    found = entry.queries()["delta_append"](spark, entry.SMOKE_DIR)
+    assert found.filter("ticket % 7 = 0").count() > 0
