@@ -10,7 +10,7 @@ from tradeloom.operators.features import trade_features
 from tradeloom.operators.staging import all_versions, current, load, of_accounts
 from tradeloom.plans import gold, pipeline
 from tradeloom.schemas import ACCOUNT_SCHEMA, GRID_SCHEMA, TRADE_COLUMNS, TRADE_SCHEMA
-from tradeloom.sources.files import read_named_csv, scan_new_grids, write_grid_files
+from tradeloom.sources.files import LISTING_TASKS, LISTINGS_PER_CORE, list_files, read_named_csv, scan_new_grids, write_grid_files
 from tradeloom.sources.statements import checked_rows, rejected_documents, rejected_rows, statement_accounts, trades_of
 
 DAY = "2024-01-0{} 09:00:00"
@@ -196,6 +196,21 @@ def test_only_unseen_files_are_read(spark, tmp_path):
     assert scan_new_grids(spark, folder, seen)[0].count() == 0
 
 
+def test_many_folders_are_listed_by_few_tasks(spark, tmp_path):
+    most, before = LISTINGS_PER_CORE * spark.sparkContext.defaultParallelism, spark.conf.get(LISTING_TASKS)
+    for n in range(2 * most):
+        os.makedirs(tmp_path / f"statement={n}")
+        (tmp_path / f"statement={n}" / "a.csv").write_text(f"4,{n}\n")
+    spark.sparkContext.setJobGroup("listing", "listing")
+    assert list_files(spark, str(tmp_path), "csv", recursive=True).count() == 2 * most
+    assert len(scan_new_grids(spark, str(tmp_path), f"{tmp_path}/seen")[0].select("file").distinct().collect()) == 2 * most
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    assert max(s.numTasks for s in stages if s and s.name.startswith(("load", "csv"))) <= most
+    assert spark.conf.get(LISTING_TASKS) == before
+
+
 def test_columns_are_found_by_name(spark, tmp_path):
     (tmp_path / "a.csv").write_text("Ticket,Open  Time,Profit\n1,x,5\n2,y,6\n")
     (tmp_path / "b.csv").write_text("PROFIT,extra,ticket\n7,?,3\n")
