@@ -181,6 +181,17 @@ def test_rejected_documents(spark):
     assert got == {("none", "no table"), ("null", "no table"), ("short", "no header row"), ("other", "unknown header"), ("bare", "no rows")}
 
 
+def test_rejects_read_documents_once(spark):
+    cells = lambda *texts: "".join(f"<td>{t}</td>" for t in texts) + "</tr>"
+    late = "<table>" + "</tr>" * 50 + cells("a") + cells("b") + cells("Ticket")
+    docs = [("late", late + cells(1)), ("bare", late), ("twice", "<p>x</p>"), ("twice", late), (None, late)]
+    seen = spark.sparkContext.accumulator(0)
+    rows = spark.createDataFrame(docs, "doc_id string, html string").mapInPandas(lambda parts: (seen.add(len(p)) or p for p in parts), "doc_id string, html string")
+    got = [tuple(r) for r in rejected_documents(rows, {"Ticket": "ticket"}).collect()]
+    assert sorted(got, key=repr) == [("bare", "no rows"), ("twice", "no rows"), ("twice", "no rows"), (None, "no table")]
+    assert seen.value == len(docs)
+
+
 def test_only_unseen_files_are_read(spark, tmp_path):
     folder, seen = f"{tmp_path}/files", f"{tmp_path}/seen"
     grids = [spark.createDataFrame(preamble(f, n) + [grid_row(f, 4, c0=str(n), **LINE)], GRID_SCHEMA) for n, f in enumerate("ab", 1)]
@@ -220,6 +231,18 @@ def test_columns_are_found_by_name(spark, tmp_path):
     assert got == {("1", "x", "5"), ("2", "y", "6"), ("3", None, "7"), (None, None, None)}
 
 
+def test_named_files_are_read_twice_and_stay_in_place(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.csv").write_text(" S \t/ L,OPEN  TIME\n1,x\n,\nopen__time,s\n")
+    (folder / "b.csv").write_text("open time\n7\n")
+    names = {"s_/_l": "stop", "open_time": "opened"}
+    few, many = (read_named_csv(spark, str(folder), names, width=3, hot_rows=1, most_headers=n) for n in (10, 0))
+    rows = lambda df: sorted(map(repr, df.select("stop", "opened").collect()))
+    assert rows(few) == rows(many) and len(rows(few)) == 4
+    assert "SortMergeJoin" not in few._jdf.queryExecution().toString() and "LeftSemi" not in few._jdf.queryExecution().toString()
+
+
 def test_a_failed_export_leaves_the_old_one(spark, tmp_path, monkeypatch):
     folder = str(tmp_path)
     view = spark.createDataFrame([(2, "b"), (1, "a, \"b\"")], "account_number long, account_name string")
