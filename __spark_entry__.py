@@ -139,12 +139,12 @@ def _export_order(spark, d):
     return gold.file_order(spark, folder)
 
 
-def _exported(name):
+def _exported(name, view):
     """A view read back from the exported files."""
 
     def run(spark, d):
         folder = scratch_path(spark, "gold")
-        gold.export_gold({name: _gold(spark, d)[name]}, folder)
+        gold.export_gold({name: view(spark, d)}, folder)
         return gold.read_export(spark, folder)[name]
 
     return run
@@ -302,8 +302,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "validate_staging": lambda s, d: validate_staging(tables.flawed_trades(s, d), tables.flawed_accounts(s, d)),
         "export_gold": _export_gold,
         "export_order": _export_order,
-        "exported_trades": _exported("trade_history"),
-        "exported_dates": _exported("dim_date"),
+        "exported_trades": _exported("trade_history", lambda s, d: gold.trade_view(_features(s, d))),
+        "exported_dates": _exported("dim_date", lambda s, d: gold.date_view(_bounds(s, d))),
         "staged_trades": _staged_trades,
         "load_states": _load_states,
         "staged_accounts": _staged_accounts,

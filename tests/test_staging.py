@@ -2,6 +2,7 @@
 
 import os
 
+import __spark_entry__ as entry
 import pytest
 from conftest import trade, trade_frame
 from test_sources import grid_row, preamble
@@ -271,3 +272,22 @@ def test_rows_out_of_order_are_found(spark, tmp_path, monkeypatch):
     gold.export_gold({"dim_account_info": view}, str(tmp_path))
     monkeypatch.setitem(gold.SORT_COLUMNS, "dim_account_info", ["account_number"])
     assert [tuple(r)[1:] for r in gold.file_order(spark, str(tmp_path)).collect()] == [(3, 2)]
+
+
+def test_an_exported_view_is_made_alone(spark, monkeypatch):
+    def bounds(spark, d):
+        raise AssertionError("the trades need no calendar")
+
+    trades = trade_frame(spark, [buy(n, n) for n in (1, 2)])
+    monkeypatch.setattr(entry, "_features", lambda s, d: trade_features(trades))
+    monkeypatch.setattr(entry, "_bounds", bounds)
+    assert {r.ticket for r in entry.queries()["exported_trades"](spark, "").collect()} == {1, 2}
+
+
+def test_trades_are_derived_once_for_named_files(spark, monkeypatch):
+    seen = spark.sparkContext.accumulator(0)
+    trades = trade_frame(spark, [buy(n, n, account=n) for n in (1, 2, 3)])
+    counted = trades.mapInPandas(lambda parts: (seen.add(len(p)) or p for p in parts), TRADE_SCHEMA)
+    monkeypatch.setattr(entry.tables, "latest_trades", lambda s, d: counted)
+    assert {r.ticket for r in entry.queries()["named_scan"](spark, "").collect()} == {1, 2, 3}
+    assert seen.value == 3
