@@ -60,7 +60,10 @@ def _bounds(spark, d):
 
 
 def _gold(spark, d):
-    return gold.gold_views(_features(spark, d), tables.accounts(spark, d), _bounds(spark, d))
+    """The gold views; the calendar's bounds are known when the trades are written, so they are not derived again."""
+    features, bounds = gold.watched_days(_features(spark, d))
+    views = gold.gold_views(features, tables.accounts(spark, d), spark.createDataFrame([], "first_day date, last_day date"))
+    return views | {"dim_date": lambda: gold.date_view(bounds())}
 
 
 def _joined_summaries(spark, d):
@@ -128,7 +131,8 @@ def _export_gold(spark, d):
     """The manifest of an export that follows an earlier one."""
     folder = scratch_path(spark, "gold")
     views = _gold(spark, d)
-    gold.export_gold({name: df.limit(0) for name, df in views.items()}, folder)
+    former = views | {"dim_date": gold.date_view(spark.createDataFrame([], "first_day date, last_day date"))}
+    gold.export_gold({name: spark.createDataFrame([], df.schema) for name, df in former.items()}, folder)
     gold.export_gold(views, folder)
     return gold.read_manifest(spark, folder).select("view_name", "n_rows")
 

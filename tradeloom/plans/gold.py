@@ -4,7 +4,7 @@ import time
 import uuid
 from functools import reduce
 
-from pyspark.sql import Window
+from pyspark.sql import Observation, Window
 from pyspark.sql import functions as F
 
 from tradeloom.operators.dims import dim_account, dim_clock, dim_date
@@ -56,6 +56,24 @@ def gold_views(features, accounts, bounds, register=False):
     return views
 
 
+def watched_days(features):
+    """(features, a function that gives the bounds of their opening days as one row).
+
+    The bounds are taken while the features are written for another view; before the first
+    action on the returned features the function waits.
+    """
+    seen, day = Observation(), F.to_date("open_datetime")
+    watched = features.observe(seen, F.min(F.unix_date(day)).alias("first"), F.max(F.unix_date(day)).alias("last"))
+
+    def bounds():
+        days = [seen.get[name] for name in ("first", "last")]
+        return features.sparkSession.range(1).select(
+            *[F.date_from_unix_date(F.lit(n).cast("int")).alias(name) for n, name in zip(days, ("first_day", "last_day"))]
+        )
+
+    return watched, bounds
+
+
 def checksum(df):
     """Sum of row hashes: the same for the same rows in any order."""
     return F.coalesce(F.sum(F.xxhash64(*df.columns).cast("decimal(20,0)")), F.lit(0)).cast("string")
@@ -64,6 +82,7 @@ def checksum(df):
 def export_gold(views, folder):
     """Write each view as CSV and publish all of them in one step; returns the paths by view name.
 
+    A view may be a function that makes it, called when the views before it are written.
     Views go to a fresh folder. Its files are read back into the manifest (view, path, rows,
     checksum, columns); writing that makes them the current export. An export that fails on the
     way leaves the former one current.
@@ -71,10 +90,12 @@ def export_gold(views, folder):
     folder = folder.rstrip("/")
     spark = next(iter(views.values())).sparkSession
     paths = {name: f"{folder}/version={uuid.uuid4().hex}/{name}" for name in views}
-    for name, df in views.items():
-        write_csv(df, paths[name], SORT_COLUMNS[name])
+    made = {}
+    for name, view in views.items():
+        made[name] = view() if callable(view) else view
+        write_csv(made[name], paths[name], SORT_COLUMNS[name])
     listed = []
-    for number, (name, df) in enumerate(views.items()):
+    for number, (name, df) in enumerate(made.items()):
         back = spark.read.schema(df.schema).option("header", True).option("mode", "FAILFAST").csv(paths[name])
         listed.append(
             back.agg(F.count("*").alias("n_rows"), checksum(back).alias("checksum")).select(

@@ -3,6 +3,8 @@
 from pyspark.sql import functions as F
 
 from tradeloom.functions.columns import money
+from tradeloom.operators import skew
+from tradeloom.operators.dedupe import dedupe_last
 from tradeloom.operators.skew import HOT_ROWS, split_ledger
 from tradeloom.schemas import GRID_CELLS, GRID_TO_TRADE
 from tradeloom.session import stored
@@ -28,15 +30,22 @@ LINE_COLUMNS = [
 ]
 
 
-def order_lines(spark, sf_dir):
-    """Order lines with account, ticket and the `row_order` that ranks copies of a ticket."""
+def order_lines(spark, sf_dir, latest=False):
+    """Order lines with account, ticket and the `row_order` that ranks copies of a ticket.
+
+    latest: of the copies of one line of an order only the last, found where the lines of an order meet for the join.
+    """
+    row_order = F.struct("l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice")
     lines = read_table(spark, sf_dir, "lineitem")
+    if latest:
+        together = lines.repartition("l_orderkey").withColumn("row_order", row_order)
+        lines = dedupe_last(together, keys=("l_orderkey", "l_linenumber")).drop("row_order")
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
         F.col("o_custkey").alias("account_nr"),
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ticket"),
         *LINE_COLUMNS,
-        F.struct("l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice").alias("row_order"),
+        row_order.alias("row_order"),
     )
 
 
@@ -50,10 +59,17 @@ def latest_ledger(spark, sf_dir, hot_rows=HOT_ROWS):
     """The last copy of each ticket, split by account size.
 
     Trades are derived after the shuffle: fewer and narrower columns travel, and only the
-    copies that stay are computed. No account can have more rows than the files' footers say.
+    copies that stay are computed. Of large tables the copies within an order go before that.
     """
-    lines = order_lines(spark, sf_dir)
-    return split_ledger(lines, "row_order", hot_rows, most_rows=line_count(spark, sf_dir), keep_order=True).map(lines_to_trades)
+    large = line_count(spark, sf_dir) > hot_rows
+    hot = None
+    if large and most_lines(spark, sf_dir, hot_rows) > hot_rows:
+        hot = skew.hot_keys(order_lines(spark, sf_dir), "account_nr", hot_rows)
+    # The ticket is made of columns that travel anyway.
+    lines = order_lines(spark, sf_dir, latest=large).drop("ticket")
+    ledger = split_ledger(lines, hot_rows=hot_rows, hot=hot, most_rows=hot_rows)
+    numbered = ledger.map(lambda part: part.withColumn("ticket", F.col("l_orderkey") * 10 + F.col("l_linenumber")))
+    return numbered.map(dedupe_last).map(lines_to_trades)
 
 
 def line_count(spark, sf_dir):
@@ -61,6 +77,18 @@ def line_count(spark, sf_dir):
     return read_table(spark, sf_dir, "lineitem").count()
 
 
+def most_lines(spark, sf_dir, hot_rows=HOT_ROWS):
+    """A number of lines that no account exceeds: the footers' count if that is at most `hot_rows`.
+
+    Otherwise the most orders of an account times the most lines of an order, which takes two keys and no join.
+    """
+    count = line_count(spark, sf_dir)
+    if count <= hot_rows:
+        return count
+    most = lambda name, key: read_table(spark, sf_dir, name).filter(F.col(key).isNotNull()).groupBy(key).count().agg(F.max("count")).first()[0] or 0
+    return min(count, most("orders", "o_custkey") * most("lineitem", "l_orderkey"))
+
+
 def latest_trades(spark, sf_dir):
     """The last copy of each ticket as one frame."""
     return latest_ledger(spark, sf_dir).union()
