@@ -361,3 +361,22 @@ def test_mixing_meets_targets(docs, rows, empty):
     assert {tuple(r) for r in got} == {tuple(r) for r in mixing.mix_sources(docs.withColumn("size", F.lit("clash"))).collect()}
     assert mixing.mix_sources(empty).count() == 0
     assert mixing.emit_copies(mixing.mix_sources(docs)).agg(F.sum("size")).first()[0] == sum(taken.values())
+
+
+def test_blocks_are_made_of_few_lines_at_once(monkeypatch):
+    """pipeline: the working arrays of a task follow BLOCK_BYTES, not the slices of other operators; the blocks stay the same."""
+    import pyarrow as pa
+
+    from tradeloom.llm import line_dedup
+
+    words = [f"line {n} of words that are {'long ' * (n % 30)}enough" for n in range(400)]
+    batch = pa.RecordBatch.from_arrays([pa.array(["\n".join(words[k : k + 20]) for k in range(0, 400, 20)])], ["text"])
+
+    def blocks():
+        found = list(line_dedup._block_rows(0.9)([batch]))
+        return len(found), sorted(row for b in found for row in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
+
+    monkeypatch.setattr(line_dedup, "BLOCK_BYTES", 1 << 30)
+    n, rows = blocks()
+    monkeypatch.setattr(line_dedup, "BLOCK_BYTES", 4096)
+    assert n == 1 and blocks()[0] > 1 and blocks()[1] == rows
