@@ -4,12 +4,14 @@ import collections
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tradeloom import session
 from tradeloom.llm import (
     decontaminate, fingerprints, html_text, line_dedup, linking, mixing, near_dedup, quality, suffix_dedup, tokens, toxicity,
 )
@@ -380,3 +382,36 @@ def test_blocks_are_made_of_few_lines_at_once(monkeypatch):
     n, rows = blocks()
     monkeypatch.setattr(line_dedup, "BLOCK_BYTES", 4096)
     assert n == 1 and blocks()[0] > 1 and blocks()[1] == rows
+
+
+def test_shuffles_of_a_stored_table_are_removed(spark):
+    """op8, op9, pipeline: what a written table was shuffled through takes no disk afterwards; the setting is as before."""
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: set(re.findall(r"shuffle_\w+\.data", blocks.getAllFiles().mkString(" ")))
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = shuffled(), spark.conf.get(key)
+    out = session.stored(spark.range(10_000).groupBy((F.col("id") % 100).alias("k")).count(), "counted")
+    for _ in range(100):
+        if shuffled() <= before:
+            break
+        time.sleep(0.1)
+    assert shuffled() <= before and spark.conf.get(key) == setting
+    assert out.agg(F.sum("count")).first()[0] == 10_000
+
+
+def test_suffix_names_are_sorted_in_turns(docs, monkeypatch):
+    """op8: no table on disk holds the 48 bytes of all sampled positions at once."""
+    sizes = []
+
+    def stored(df, name):
+        out = session.stored(df, name)
+        if name == "sampled":
+            sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(suffix_dedup, "stored", stored)
+    want = table(suffix_dedup.remove_repeats(docs).drop("spans"))
+    assert len(sizes) > 1 and max(sizes) < sum(sizes) / 2
+    monkeypatch.setattr(suffix_dedup, "SEGMENT", 7)
+    monkeypatch.setattr(suffix_dedup, "PIECE", 1)
+    assert table(suffix_dedup.remove_repeats(docs).drop("spans")) == want
