@@ -8,6 +8,7 @@ import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -399,6 +400,40 @@ def test_shuffles_of_a_stored_table_are_removed(spark):
     assert out.agg(F.sum("count")).first()[0] == 10_000
 
 
+def test_pairs_that_cannot_be_links_are_not_made(spark):
+    """pipeline, op9: `near` holds within the joins on buckets, for centres and for members; links are the same."""
+    buckets = spark.createDataFrame([(b, n) for b in (1, 2) for n in range(b, 40)], "bucket long, node long")
+    nodes = buckets.select("node", (F.col("node") % 5).alias("kind")).distinct()
+    seen = []
+
+    def verify(pairs):
+        seen.append(pairs.count())
+        return pairs.filter("abs(a.node - b.node) = 5")
+
+    near = lambda a, b: F.expr(f"{a}.kind = {b}.kind")
+    roots = dict(tuple(r) for r in linking.bucket_components(buckets, nodes, verify, near=near).collect())
+    assert roots == {n: (n - 1) % 5 + 1 for n in range(6, 40)}
+    assert sum(seen) <= sum(1 for a in range(1, 40) for b in range(1, a) if a % 5 == b % 5)
+
+
+def test_pair_counts_never_exceed_the_edits():
+    rng, codes = random.Random(5), line_dedup._codes()
+    lines = ["", "a", "ab", "日", "日本語 ñandú x"] + ["".join(rng.choice("abcd é日") for _ in range(rng.randint(1, 60))) for _ in range(40)]
+    others = []
+    for line in lines:
+        x = list(line)
+        for _ in range(rng.randint(1, 4)):
+            at = rng.randint(0, len(x))
+            x[at : at + rng.randint(0, 1)] = rng.choice(["", "q", "語"])
+        others.append("".join(x))
+    counts = lambda texts: line_dedup._pair_counts(codes, *line_dedup.tb.buffers(pa.array(texts)))
+    for a, b, x, y in zip(lines, others, counts(lines), counts(others)):
+        assert sum(int(p ^ q).bit_count() for p, q in zip(x, y)) <= 4 * levenshtein(a, b)
+    assert (counts(lines) == np.concatenate([counts([x]) for x in lines])).all()
+    unlike = counts(["the first of two lines that share few letters", "kumquat jazz buzz wax vow hymn pyx qoph zebu gnu"])
+    assert sum(int(p ^ q).bit_count() for p, q in zip(*unlike)) > 4 * 4
+
+
 def test_suffix_names_are_sorted_in_turns(docs, monkeypatch):
     """op8: no table on disk holds the 48 bytes of all sampled positions at once."""
     sizes = []
