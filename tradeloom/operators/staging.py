@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradeloom.operators.skew import HOT_ROWS
+from tradeloom.session import remove, shuffles_dropped
 
 LOAD, BUCKET, THROUGH = "load_nr", "account_bucket", "through_load"
 BUCKETS = 64
@@ -93,15 +94,26 @@ def load(fresh, table):
         known = last_versions(versions, table)
     else:
         known = fresh.limit(0)
-    # The comparison is written, since both the counts and the load are read from it.
+    # What the comparison tells is written, since both the counts and the load are read from it: the rows of news alone.
     path = f"{table.path.rstrip('/')}-compared"
-    compared(fresh, known, table).write.mode("overwrite").parquet(path)
-    states = spark.read.parquet(path)
+    told = compared(fresh, known, table).select("state", F.when(F.col("state").isin("new", "changed"), F.col("fresh")).alias("fresh"))
+    with shuffles_dropped(spark):
+        told.write.mode("overwrite").parquet(path)
+    states = spark.read.schema(told.schema).parquet(path)
+    try:
+        return _written(states, table, number)
+    finally:
+        remove(spark, path)
+
+
+def _written(states, table, number):
+    """Write the news of a comparison as load `number`; what `load` returns."""
     counts = {r.state: r["count"] for r in states.groupBy("state").count().collect()}
     news = states.filter("state in ('new', 'changed')").select("fresh.*")
     if not counts.get("new", 0) + counts.get("changed", 0):
         return None, counts
-    clustered(news, table).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{table.path.rstrip('/')}/{LOAD}={number}")
+    with shuffles_dropped(states.sparkSession):
+        clustered(news, table).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{table.path.rstrip('/')}/{LOAD}={number}")
     # Keys of an account never go away, so its size is the sum of what loads have added.
     added = states.filter("state = 'new'").groupBy(F.col(f"fresh.{table.account}").alias(table.account)).agg(F.count("*").alias("n"))
     added.write.mode("overwrite").parquet(f"{table.path.rstrip('/')}-sizes/{LOAD}={number}")
@@ -154,7 +166,12 @@ def refresh(spark, table, schema, derive, path, hot_rows=HOT_ROWS):
         due = loads
     due = {r[0]: r[1] for r in due.select(BUCKET, "due").collect()}  # at most `buckets` entries
     if due:
-        rows = derive(last_versions(versions.filter(F.col(BUCKET).isin(list(due))), table).select(*table.columns), large)
+        changed = versions.filter(F.col(BUCKET).isin(list(due)))
+        if large.isEmpty():
+            # One shuffle by account serves the last versions and what is derived per account.
+            changed = changed.repartition(table.account)
+        rows = derive(last_versions(changed, table).select(*table.columns), large)
         rows = clustered(rows, table).withColumn(THROUGH, F.lit(max(due.values())).cast("long"))
-        rows.write.partitionBy(BUCKET).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+        with shuffles_dropped(spark):
+            rows.write.partitionBy(BUCKET).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
     return spark.read.schema(kept).parquet(path).drop(BUCKET, THROUGH), sorted(due)
